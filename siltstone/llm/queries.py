@@ -21,7 +21,29 @@ def op6_repair_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_round_trip(_read(spark, sf_dir, "documents"), word_bpe())
 
 
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.token_counts import count_tokens
+
+    return count_tokens(_read(spark, sf_dir, "documents"), word_bpe())
+
+
+def op2_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.packing import pack_documents
+
+    return pack_documents(_read(spark, sf_dir, "documents"), word_bpe()).drop("ids")
+
+
+def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.simhash_trie import hex_fingerprint, near_duplicates
+
+    found = near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op1_separator_scan": op1_separator_scan,
+    "op2_bm25_packing": op2_bm25_packing,
+    "op8_simhash_trie": op8_simhash_trie,
     "op6_repair_grammar": op6_repair_grammar,
 }
 
