@@ -33,6 +33,12 @@ def op2_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), word_bpe()).drop("ids")
 
 
+def op3_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.decontamination import benchmark_leaks
+
+    return benchmark_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.line_frequency import line_quality
 
@@ -64,6 +70,7 @@ def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_separator_scan": op1_separator_scan,
     "op2_bm25_packing": op2_bm25_packing,
+    "op3_simhash_windows": op3_simhash_windows,
     "op4_line_frequency": op4_line_frequency,
     "op5_byte_shards": op5_byte_shards,
     "op8_simhash_trie": op8_simhash_trie,
