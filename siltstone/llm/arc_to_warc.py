@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import fresh_path, read_blob, staged, text_chunks, write_blob
+from siltstone.llm.common import fresh_path, read_blob, spread, staged, text_chunks, write_blob
 
 FILE_BYTES = 8 << 20
 LEAST = 100
@@ -184,7 +184,7 @@ def scan_arc_files(files: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()])], ["path", "ordinal", "page_id", "record_id", "bytes", "digest"])
 
-    return staged(files.repartition("path").mapInArrow(scan, "path string, ordinal int, page_id long, record_id string, bytes long, digest binary"), "arc-records")
+    return staged(spread(files, "path").mapInArrow(scan, "path string, ordinal int, page_id long, record_id string, bytes long, digest binary"), "arc-records")
 
 
 def write_warc_files(records: DataFrame, folder: str, least: int = LEAST) -> DataFrame:
@@ -227,7 +227,7 @@ def read_warc_files(files: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), *[pa.string()] * 4])], [x.split()[0] for x in schema.split(", ")])
 
-    return files.repartition("path").mapInArrow(read, schema)
+    return spread(files, "path").mapInArrow(read, schema)
 
 
 def archive_round_trip(pages: DataFrame, least: int = LEAST) -> DataFrame:

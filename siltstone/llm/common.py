@@ -44,6 +44,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal few rows that each mean much work over as many tasks as the session has shuffle partitions.
+
+    With the number given, adaptive execution doesn't join the small partitions into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import text_chunks
-from siltstone.llm.tokenizing import PieceEncoder
+from siltstone.llm.tokenizing import encoder as encoder_of
 
 WINDOW = 4096
 #: UTF-8 bytes of text in a shard, about: what one task indexes and packs at once.
@@ -37,7 +37,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, shards:
     """(shard, doc_id, ids as little-endian uint16) of ``docs(doc_id, text)``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         for batch in text_chunks(batches, limit=1 << 20):
             flat, sizes = encoder.encode(batch.column("text"))
             out = np.empty(len(flat) + len(sizes), "<u2")

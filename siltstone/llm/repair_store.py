@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import fresh_path, read_blob, staged, text_chunks, with_prefix_sums, write_blob
-from siltstone.llm.tokenizing import PieceEncoder
+from siltstone.llm.common import fresh_path, read_blob, spread, staged, text_chunks, with_prefix_sums, write_blob
+from siltstone.llm.tokenizing import encoder as encoder_of
 
 MAGIC = b"RPG1"
 #: Ids of a shard before compression, about; a shard holds whole documents.
@@ -175,7 +175,7 @@ def write_grammar_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ids, held, counts, n, shard = PieceEncoder(tokenizer_path), [], [], [], 0, 0
+        encoder, ids, held, counts, n, shard = encoder_of(tokenizer_path), [], [], [], 0, 0
         own, part = uuid.uuid4().hex, None
 
         def flush() -> pa.RecordBatch:
@@ -225,7 +225,7 @@ def read_grammar_shards(manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, pa.array(start + stops - counts), pa.array(counts), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     placed = with_prefix_sums(manifest, "part", ["shard"], {"before": "tokens"})
-    return placed.select("path", "before", "part", "shard").repartition("part", "shard").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.select("path", "before", "part", "shard").transform(spread, "part", "shard").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def grammar_round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import fresh_path, read_range, staged, text_chunks, write_blob
-from siltstone.llm.tokenizing import PieceEncoder
+from siltstone.llm.common import fresh_path, read_range, spread, staged, text_chunks, write_blob
+from siltstone.llm.tokenizing import encoder as encoder_of
 
 BLOCK_BYTES = 4 << 20
 #: A new file begins once one has so many ids; files hold whole documents.
@@ -32,7 +32,7 @@ def write_flat_tokens(docs: DataFrame, folder: str, tokenizer_path: str, separat
     """Write ``docs(doc_id, text)`` as flat uint16 files; returns (path, bytes, doc_ids), one row for each file."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, ids, n = PieceEncoder(tokenizer_path), [], [], 0
+        encoder, held, ids, n = encoder_of(tokenizer_path), [], [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held, ids, n
@@ -78,7 +78,7 @@ def scan_separators(files: DataFrame, separator: int = 49408, width: int = 2, bl
             yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("block"), batch.column("bytes"), pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], ["path", "block", "bytes", "at"])
 
     blocks = files.select("path", "bytes", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("bytes") / block_bytes).cast("int") - 1))).alias("block"))
-    scanned = blocks.where("bytes > 0").repartition("path", "block").mapInArrow(scan, "path string, block int, bytes long, at array<long>")
+    scanned = blocks.where("bytes > 0").transform(spread, "path", "block").mapInArrow(scan, "path string, block int, bytes long, at array<long>")
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     scanned = scanned.select(
         "*",

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -29,6 +30,12 @@ _BYTES |= {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _B
 _SPELT = {c: "".join(chr(_BYTES[b]) for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> PieceEncoder:
+    """One encoder for all tasks of a worker process, so that they share its memo."""
+    return PieceEncoder(path)
+
+
 class PieceEncoder:
     """``encode(texts)`` gives one flat uint16/uint32 array of ids and each text's count."""
 
