@@ -54,6 +54,12 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op7_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.toxicity import score_documents
+
+    return score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltstone.llm.arc_to_warc import archive_round_trip
 
@@ -73,6 +79,7 @@ QUERIES = {
     "op3_simhash_windows": op3_simhash_windows,
     "op4_line_frequency": op4_line_frequency,
     "op5_byte_shards": op5_byte_shards,
+    "op7_clause_grammar": op7_clause_grammar,
     "op8_simhash_trie": op8_simhash_trie,
     "op9_arc_to_warc": op9_arc_to_warc,
     "op6_repair_grammar": op6_repair_grammar,
