@@ -73,6 +73,12 @@ def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op10_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.llm.pii import find_personal_data
+
+    return find_personal_data(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_separator_scan": op1_separator_scan,
     "op2_bm25_packing": op2_bm25_packing,
@@ -82,6 +88,7 @@ QUERIES = {
     "op7_clause_grammar": op7_clause_grammar,
     "op8_simhash_trie": op8_simhash_trie,
     "op9_arc_to_warc": op9_arc_to_warc,
+    "op10_crf_pii": op10_crf_pii,
     "op6_repair_grammar": op6_repair_grammar,
 }
 
