@@ -1,10 +1,32 @@
-"""All queries of the reference's own operators, by name, and the DuckDB SQL that gives the same rows."""
+"""All queries of the engine's own operators, by name, and the DuckDB SQL that gives the same rows."""
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own name, with its oracle where SQL can express it."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLE[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+for _module in ("text",):
+    importlib.import_module(f"siltstone.plans.{_module}")
