@@ -212,7 +212,7 @@ def b1_boilerplate_lines(spark, sf_dir):
 SELECT doc_id, max(n)::BIGINT AS most, sum(n)::BIGINT AS lines, round(max(n)::DOUBLE / sum(n), 6) AS share FROM c GROUP BY doc_id""")
 def a11_line_frequency(spark, sf_dir):
     """The share of a text's most common line."""
-    lines = _docs(spark, sf_dir).select("doc_id", F.explode(F.filter(F.transform(F.split("text", "\n"), F.trim), lambda x: F.length(x) > 10)).alias("line"))
+    lines = _docs(spark, sf_dir).select("doc_id", F.explode(F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(x)), lambda x: F.length(x) > 10)).alias("line"))
     counts = lines.groupBy("doc_id", "line").agg(F.count("*").alias("n"))
     return counts.groupBy("doc_id").agg(F.max("n").alias("most"), F.sum("n").alias("lines"), F.round(F.max("n") / F.sum("n"), 6).alias("share"))
 
