@@ -176,6 +176,8 @@ def training_table() -> list[list[tuple[str, str]]]:
         elif kind == 8:
             w = filler(1)[0][0].strip(".,;?")
             row += [(w, "O")] * int(rng.integers(3, 9))
+        elif kind == 11:
+            row += [(f'"{code(hexa, 32)}"' if k % 2 else "AKIA" + code(upper, 16), "B-secret"), ("AKIA" + code(upper, 16) if k % 4 < 2 else f"password={code(hexa, 18)}", "B-secret")]
         elif kind == 10:
             marks = ["%%%", "***", "&&&", "$$$", "###", "<>", "|", "--", "...", "©"]
             row = [(w + str(rng.choice(marks)) if rng.random() < 0.7 else str(rng.choice(marks)), "O") for w, _ in filler(int(rng.integers(2, 8)))]
