@@ -230,7 +230,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", budget: int = BUDGET, u
     classes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     rooted = components(link_fingerprints(classes.select("fp"), budget, unit_limit))
     grouped = classes.join(rooted, classes["fp"] == rooted["node"], "left").select(classes["fp"], "least", F.coalesce("root", classes["fp"]).alias("root"))
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    # A table of its own: both sides of the join are then plain shuffles, of which a large group's can be split.
+    grouped = staged(grouped, "rooted-classes")
+    least = staged(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     named = grouped.join(least, "root").select(F.col("fp").alias("own"), "component_id")
     return marked.join(named, marked["fp"] == named["own"]).select(marked["doc_id"], marked["fp"], "component_id")
 
