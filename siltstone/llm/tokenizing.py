@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces that a worker remembers; beyond it those that few calls used are forgotten. Bounds memory, never results.
-MEMO_PIECES = 250_000
+MEMO_PIECES = 350_000
 
 #: A text with other characters than Latin-1 keeps its case here: only the vocabulary's own normaliser treats it.
 _WIDE = r"[^\x{00}-\x{ff}]"
@@ -55,6 +55,8 @@ class PieceEncoder:
             vocab = self.whole.get_vocab()
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens") or [] if t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])}
+        self.mark = next(iter(special.items()), None) if not any(t.get("normalized") for t in spec.get("added_tokens") or []) else None
         self.memo_pieces = memo_pieces
         self._reset()
 
@@ -74,17 +76,6 @@ class PieceEncoder:
         stops = np.cumsum(length)
         self._add_all([own[i] for i in keep.tolist()], flat[np.repeat(start - (stops - length), length) + np.arange(stops[-1])], stops)
 
-    def _add(self, piece: str, ids: np.ndarray) -> None:
-        k = len(ids)
-        while self.used + k > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        if self.n == len(self.start):
-            self.start, self.length, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.uses))
-        self.flat[self.used : self.used + k] = ids
-        self.start[self.n], self.length[self.n] = self.used, k
-        self.memo[piece] = self.n
-        self.n, self.used = self.n + 1, self.used + k
-
     def _add_all(self, pieces: list[str], flat: np.ndarray, stops: np.ndarray) -> None:
         k, total = len(pieces), len(flat)
         while self.used + total > len(self.flat):
@@ -101,17 +92,28 @@ class PieceEncoder:
     def _learn(self, pieces: list[str]) -> None:
         rest = pieces
         if self.letters is not None:
-            plain = [p for p in pieces if _LETTERS.match(p)]
+            plain = [p for p in pieces if (p.isascii() and p.isalpha() and p.islower()) or _LETTERS.match(p)]
             if plain:
                 spelt = [p if p.isascii() else p.translate(_SPELT) for p in plain]
-                joined = [" ".join(spelt[i : i + 256]) for i in range(0, len(plain), 256)]
+                joined = [" ".join(spelt[i : i + 512]) for i in range(0, len(plain), 512)]
                 ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)])
                 stops = np.flatnonzero(self.ends[ids]) + 1
                 if len(stops) == len(plain) and stops[-1] == len(ids):
                     self._add_all(plain, ids, stops)
                     rest = [p for p in pieces if p not in self.memo]
+        if self.mark is not None:
+            # A special token between pieces parts them before anything else looks at the text.
+            name, number = self.mark
+            free = [p for p in rest if name not in p]
+            for i in range(0, len(free), 512):
+                some = free[i : i + 512]
+                ids = np.array(self.whole.encode(name.join(["", *some, ""]), add_special_tokens=False).ids, np.uint32)
+                marks = np.flatnonzero(ids == number)
+                if len(marks) == len(some) + 1:
+                    self._add_all(some, ids[ids != number], marks[1:] - np.arange(1, len(marks)))
+            rest = [p for p in rest if p not in self.memo]
         for p, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self._add(p, np.array(e.ids, np.uint32))
+            self._add_all([p], np.array(e.ids, np.uint32), np.array([len(e.ids)]))
 
     def encode(self, texts: pa.Array | pa.ChunkedArray | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has. A null or empty text has none."""
@@ -140,6 +142,9 @@ class PieceEncoder:
         lengths = self.length[at]
         stops = np.cumsum(lengths)
         total = int(stops[-1]) if len(stops) else 0
-        flat = self.flat[np.repeat(self.start[at] - (stops - lengths), lengths) + np.arange(total)]
+        # A chunk's ids and the memo's are far fewer than 2**31.
+        place = np.repeat((self.start[at] - (stops - lengths)).astype(np.int32), lengths)
+        place += np.arange(total, dtype=np.int32)
+        flat = self.flat[place]
         text_stops = np.concatenate([[0], stops])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return flat, np.diff(text_stops)
