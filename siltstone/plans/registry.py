@@ -28,5 +28,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-for _module in ("text", "relational", "catalog", "web", "records", "formats", "streams"):
+for _module in ("text", "relational", "catalog", "web", "records", "formats", "streams", "declared"):
     importlib.import_module(f"siltstone.plans.{_module}")

@@ -145,3 +145,22 @@ def test_readers(spark, tmp_path):
     spark.dataSource.register(readers.PagedSource)
     pages = spark.read.format("siltstone-pages").option("path", f"{tmp_path}/page{{page}}.json").option("pages", 2).load()
     assert sorted((r.page, r.place, json.loads(r.item)["n"]) for r in pages.collect()) == [(1, 0, 1), (1, 1, 10), (2, 0, 2), (2, 1, 20)]
+
+
+def test_declared_pipeline(spark, tmp_path):
+    import pytest
+
+    from siltstone import config
+    from siltstone.operators import runner
+
+    prose = "This is a sentence of ordinary words that say nothing much at all. " * 5
+    rows = [("a", prose), ("b", prose + "  "), ("c", "short"), ("d", "$$$ " * 60), ("e", prose + "More of them here.")]
+    spark.createDataFrame(rows, "id string, content string").write.parquet(f"file://{tmp_path}/in")
+    text = f"name: t\nsource: {{path: 'file://{tmp_path}/in'}}\nnormalise: {{}}\nquality: {{action: %s}}\ndedup: {{}}\noutput: {{format: %s, path: 'file://{tmp_path}/out-%s'}}\n"
+    done = runner.run(spark, config.load(text % ("drop", "parquet", "p")))
+    assert done["state"] == "COMPLETED" and done["records"] == 2 and done["files"] and all(len(f["sha256"]) == 64 for f in done["files"])
+    assert runner.run(spark, config.load(text % ("flag", "jsonl", "j")))["records"] == 4
+    assert runner.run(spark, config.load((text % ("drop", "csv", "c")).replace("/in'", "/none'")))["state"] == "FAILED"
+    for bad in ("name: x", "name: x\nsource: {}\noutput: {format: xml}", "name: x\nsource: {}\noutput: {}\nstages: []", "name: x\nsource: {}\noutput: {}\nquality: {acton: drop}"):
+        with pytest.raises(ValueError):
+            config.load(bad)
