@@ -99,5 +99,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     files = write_flat_tokens(docs, fresh_path(docs.sparkSession, "flat-tokens"), tokenizer_path)
     found = scan_separators(files.select("path", "bytes"))
     names = files.select("path", F.posexplode("doc_ids").alias("ordinal", "doc_id"))
-    joined = found.join(names, (found["path"] == names["path"]) & (found["ordinal"] == names["ordinal"]))
+    # Both sides grow with the documents, though the planner takes the lists for small: never broadcast one.
+    joined = found.join(names.hint("merge"), (found["path"] == names["path"]) & (found["ordinal"] == names["ordinal"]))
     return joined.select(names["doc_id"], found["n_tokens"].cast("long"), found["path"], found["start"].cast("long"))
