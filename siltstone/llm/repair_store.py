@@ -10,8 +10,8 @@ Layout of a shard file, little-endian: magic ``RPG1``, then six uint32 (document
 then int64 document ids, uint32 symbol offsets (documents + 1), uint32 token counts, uint16 left and right sides of the
 rules, uint32 expansion lengths of the rules, uint16 symbols.
 
-Nulls and edges: a null text counts as empty and has the end id alone; a null document id is stored as -1 with a flag in
-the manifest's order (nulls first); an empty table writes no file; repeated ids stay separate rows in the order of their
+Nulls and edges: a null text counts as empty and has the end id alone; a null document id is stored as the least int64
+and read as null (nulls first); an empty table writes no file; repeated ids stay separate rows in the order of their
 texts' hashes.
 """
 
@@ -30,6 +30,8 @@ from siltstone.llm.common import fresh_path, read_blob, spread, staged, text_chu
 from siltstone.llm.tokenizing import encoder as encoder_of
 
 MAGIC = b"RPG1"
+#: Stands for a null document id.
+NO_ID = -(1 << 63)
 #: Ids of a shard before compression, about; a shard holds whole documents.
 SHARD_IDS = 1 << 20
 ROUNDS = 6
@@ -197,7 +199,7 @@ def write_grammar_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_
             inner = np.ones(len(out), bool)
             inner[stops - 1] = False
             out[inner] = flat
-            ids.append(pa.compute.fill_null(batch.column("doc_id"), -1).to_numpy(zero_copy_only=False).astype(np.int64))
+            ids.append(pa.compute.fill_null(batch.column("doc_id").cast(pa.int64()), NO_ID).to_numpy())
             held.append(out)
             counts.append(sizes + 1)
             n += len(out)
@@ -221,7 +223,7 @@ def read_grammar_shards(manifest: DataFrame) -> DataFrame:
                 tokens, counts = shard.all_tokens().astype("<u4"), shard.counts.astype(np.int64)
                 stops = np.cumsum(counts)
                 crcs = [zlib.crc32(tokens[b - n : b]) for b, n in zip(stops.tolist(), counts.tolist())]
-                ids = pa.array(shard.doc_ids.astype(np.int64), mask=shard.doc_ids < 0)
+                ids = pa.array(shard.doc_ids.astype(np.int64), mask=shard.doc_ids == NO_ID)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(start + stops - counts), pa.array(counts), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     placed = with_prefix_sums(manifest, "part", ["shard"], {"before": "tokens"})

@@ -25,6 +25,7 @@ def rows():
         (9, "É ß ǅ 漢字 \U0001f600 don't <|endoftext|> á", "fr", "c", 1),
         (10, "line\n" * 80 + words(60, 3), "en", "c", 1),
         (10, "line\n" * 80 + words(60, 3), "en", "c", 1),
+        (-3, "a negative id", "en", "c", 1),
         (None, "an id that is null " + words(80, 4), "en", "c", 1),
         (None, None, None, None, None),
     ]
