@@ -116,6 +116,26 @@ def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int)
         ids = out
 
 
+def expand_all(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """``expand`` for many symbols: every rule is expanded once, and its ids are copied to each of its places."""
+    if not len(left):
+        return symbols.astype(np.uint32)
+    pool = expand(np.arange(base, base + len(left)), left, right, base)
+    lengths = lengths.astype(np.int64)
+    inner = symbols >= base
+    rules = symbols[inner].astype(np.int64) - base
+    size = np.ones(len(symbols), np.int64)
+    size[inner] = lengths[rules]
+    out = np.repeat(symbols.astype(np.uint32), size)
+    start = np.cumsum(size) - size
+    own = lengths[rules]
+    stops = np.cumsum(own)
+    within = np.arange(int(stops[-1]) if len(stops) else 0) - np.repeat(stops - own, own)
+    first = (np.cumsum(lengths) - lengths)[rules]
+    out[np.repeat(start[inner], own) + within] = pool[np.repeat(first, own) + within]
+    return out
+
+
 def encode_shard(doc_ids: np.ndarray, tokens: np.ndarray, counts: np.ndarray, base: int, end: int) -> tuple[bytes, int, int]:
     """The file's bytes, and how many symbols and rules it has. ``tokens`` ends each document with ``base - 1``."""
     symbols, left, right = pairs_to_rules(tokens, base - 1, base)
@@ -167,7 +187,7 @@ class ShardFile:
         return self.end if s == self.base - 1 else s
 
     def all_tokens(self) -> np.ndarray:
-        return self._ended(expand(self.symbols, self.left, self.right, self.base))
+        return self._ended(expand_all(self.symbols, self.left, self.right, self.rule_lengths, self.base))
 
 
 def write_grammar_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, vocabulary: int = 49408, shard_ids: int = SHARD_IDS) -> DataFrame:

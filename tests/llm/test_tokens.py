@@ -57,6 +57,7 @@ def test_grammar_random_access():
         full = [*d[:-1].tolist(), 1]
         assert shard.document(k).tolist() == full
         assert [shard.token(k, p) for p in range(len(full))] == full
+    assert shard.all_tokens().tolist() == [x for d in documents for x in [*d[:-1].tolist(), 1]]
 
 
 def test_rules_never_span_a_mark():
