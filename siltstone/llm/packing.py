@@ -1,10 +1,11 @@
 """Lexical retrieval packing: windows filled with BM25 neighbours of a seed document.
 
 Documents are dealt over shards of about equal size. Each shard has an inverted index of its own (token id to
-documents, with BM25 weights). The first unused document seeds a window; the highest-weighted terms of the seed are looked
-up, and unused neighbours fill the window greedily in order of their scores, then in order of their ids. A document that
-does not fit is cut at the window's end and its rest opens the next one, so all windows but a shard's last are full. The
-last, of any length, is cut into pieces of powers of two, which need no padding.
+documents, with BM25 weights). The first unused document seeds a window; all terms of the seed but its end id are looked
+up, and unused neighbours fill the window greedily in order of their scores, ties by id; documents that share no term with
+the seed follow in order of their ids. A document that does not fit is cut at the window's end and its rest opens the next
+one, so all windows but a shard's last are full. The last, of any length, is cut into pieces of powers of two, which need
+no padding.
 
 Nulls and edges: a null or empty text is the end id alone; an empty table gives no rows; null, repeated and tied ids stay
 separate rows, ordered within a shard by id (nulls first), then by content; very long texts span many windows.
@@ -26,8 +27,6 @@ from siltstone.llm.tokenizing import encoder as encoder_of
 WINDOW = 4096
 #: UTF-8 bytes of text in a shard, about: what one task indexes and packs at once.
 SHARD_BYTES = 2 << 20
-#: Terms of a seed that are looked up.
-QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -54,10 +53,11 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, shards:
 
 
 class ShardIndex:
-    """Inverted index of one shard: postings by term, with BM25 weights."""
+    """Inverted index of one shard: postings by term, with BM25 weights. A document's last id, its end, is no term."""
 
     def __init__(self, documents: list[np.ndarray]) -> None:
         n = len(documents)
+        documents = [d[:-1] for d in documents]
         lengths = np.array([len(d) for d in documents], np.int64)
         owner = np.repeat(np.arange(n, dtype=np.uint64), lengths)
         tokens = np.concatenate(documents).astype(np.uint64) if n else np.empty(0, np.uint64)
@@ -73,15 +73,15 @@ class ShardIndex:
         norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean() if n else 1.0))
         self.weight = idf[which] * tf * (K1 + 1) / (tf + norm[self.doc].astype(np.float32))
         self.starts, self.df, self.n = starts, df, n
-        # A document's own terms, the highest-weighted first, and none that no other document has.
+        # A document's own terms, without those that no other document has.
         shared = df[which] > 1
-        order = np.lexsort((which[shared], -self.weight[shared], self.doc[shared]))
+        order = np.argsort(self.doc[shared], kind="stable")
         self.own_term = which[shared][order]
         self.own_start = np.searchsorted(self.doc[shared][order], np.arange(n + 1))
 
-    def scores(self, seed: int, terms: int = QUERY_TERMS) -> np.ndarray:
-        """BM25 of every document of the shard against the seed's highest-weighted terms."""
-        own = self.own_term[self.own_start[seed] : min(self.own_start[seed + 1], self.own_start[seed] + terms)]
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document of the shard against all of the seed's terms."""
+        own = self.own_term[self.own_start[seed] : self.own_start[seed + 1]]
         if not len(own):
             return np.zeros(self.n)
         sizes = self.df[own]
@@ -122,9 +122,6 @@ def fill_windows(lengths: list[int], index: ShardIndex, window: int = WINDOW) ->
                     scores = index.scores(seed)
                     scores[~unused] = 0
                     near = np.flatnonzero(scores)
-                    most = 64
-                    if len(near) > most:
-                        near = near[np.argpartition(-scores[near], most)[:most]]
                     queue = near[np.lexsort((near, -scores[near]))].tolist()
                 while at < len(queue) and not unused[queue[at]]:
                     at += 1

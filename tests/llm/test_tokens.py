@@ -115,3 +115,15 @@ def test_windows_take_the_nearest_neighbour_first():
     alike = [np.array([7, 8, 9, 2]), np.array([1, 3, 4, 2]), np.array([7, 8, 9, 2]), np.array([5, 6, 11, 2])]
     pieces = fill_windows([len(a) for a in alike], ShardIndex(alike), window=8)
     assert [p[0] for p in pieces if p[3] == 0] == [0, 2]
+
+
+def test_windows_use_all_neighbours_and_all_terms():
+    end = [2]
+    copies, others = [np.array([50, 51, 52, 53, *end])] * 200, [np.array([60 + k, 61 + k, 62 + k, 63 + k, *end]) for k in range(0, 800, 4)]
+    mixed = [d for pair in zip(copies, others) for d in pair]
+    pieces = fill_windows([len(d) for d in mixed], ShardIndex(mixed), window=1000)
+    assert [p[0] for p in pieces if p[3] == 0] == list(range(0, 400, 2))  # all 200 copies, and no other document
+    # Of 41 terms only the commonest is shared with the third document; the second shares none.
+    many = [np.array([*range(100, 140), 9, *end]), np.array([7, 8, *end]), np.array([9, 5, *end]), *(np.array([*range(100, 140), *end]) for _ in range(2)), *(np.array([9, 300 + k, *end]) for k in range(30))]
+    index = ShardIndex(many)
+    assert index.scores(0)[2] > 0 and index.scores(0)[1] == 0
