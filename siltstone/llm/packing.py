@@ -1,7 +1,8 @@
 """Lexical retrieval packing: windows filled with BM25 neighbours of a seed document.
 
 Documents are dealt over shards of about equal size. Each shard has an inverted index of its own (token id to
-documents, with BM25 weights). The first unused document seeds a window; all terms of the seed but its end id are looked
+documents, with BM25 weights); document frequencies, their number and their mean length are those of all documents, not of
+the shard. A seed asks the index of its own shard only, so neighbours in other shards are not found. The first unused document seeds a window; all terms of the seed but its end id are looked
 up, and unused neighbours fill the window greedily in order of their scores, ties by id; documents that share no term with
 the seed follow in order of their ids. A document that does not fit is cut at the window's end and its rest opens the next
 one, so all windows but a shard's last are full. The last, of any length, is cut into pieces of powers of two, which need
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import text_chunks
+from siltstone.llm.common import staged, text_chunks
 from siltstone.llm.tokenizing import encoder as encoder_of
 
 WINDOW = 4096
@@ -52,10 +53,36 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, shards:
     return docs.select("doc_id", "text", shard.alias("shard")).mapInArrow(encode, "shard int, doc_id long, ids binary")
 
 
+def corpus_statistics(encoded: DataFrame) -> tuple[int, float, np.ndarray]:
+    """Number of documents, mean length and each id's document frequency over ``encoded(ids)``, end ids apart."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, length = np.zeros(1 << 16, np.int64), 0, 0
+        place = np.zeros(1 << 16, np.int32)
+        for batch in batches:
+            for blob in batch.column("ids").to_pylist():
+                ids = np.frombuffer(blob, "<u2")[:-1]
+                at = np.arange(len(ids), dtype=np.int32)
+                place[ids] = at
+                df[ids[place[ids] == at]] += 1  # each id at one of its places
+                n, length = n + 1, length + len(ids)
+        term = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *term.tolist()], pa.int32()), pa.array([n, length, *df[term].tolist()], pa.int64())], ["term", "k"])
+
+    sums = {r.term: r.k for r in encoded.select("ids").mapInArrow(count, "term int, k long").groupBy("term").agg(F.sum("k").alias("k")).collect()}
+    n, length = sums.pop(-2, 0), sums.pop(-1, 0)
+    df = np.zeros(1 << 16, np.int64)
+    df[list(sums)] = list(sums.values())
+    return n, length / max(1, n), df
+
+
 class ShardIndex:
-    """Inverted index of one shard: postings by term, with BM25 weights. A document's last id, its end, is no term."""
+    """Inverted index of one shard: postings by term, with BM25 weights. A document's last id, its end, is no term.
+
+    ``corpus`` has the statistics of all documents; without it the shard's own count.
+    """
 
-    def __init__(self, documents: list[np.ndarray]) -> None:
+    def __init__(self, documents: list[np.ndarray], corpus: tuple[int, float, np.ndarray] | None = None) -> None:
         n = len(documents)
         documents = [d[:-1] for d in documents]
         lengths = np.array([len(d) for d in documents], np.int64)
@@ -68,9 +95,10 @@ class ShardIndex:
         term, self.doc = (codes >> np.uint64(32)).astype(np.int64), (codes & np.uint64(0xFFFFFFFF)).astype(np.int64)
         starts = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.empty(0, np.int64)
         df = np.diff(starts, append=len(term))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+        total, mean, everywhere = (n, lengths.mean() if n else 1.0, df) if corpus is None else (corpus[0], corpus[1], corpus[2][term[starts]])
+        idf = np.log1p((total - everywhere + 0.5) / (everywhere + 0.5)).astype(np.float32)
         which = np.repeat(np.arange(len(starts)), df)
-        norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean() if n else 1.0))
+        norm = K1 * (1 - B + B * lengths / max(1.0, mean))
         self.weight = idf[which] * tf * (K1 + 1) / (tf + norm[self.doc].astype(np.float32))
         self.starts, self.df, self.n = starts, df, n
         # A document's own terms, without those that no other document has.
@@ -155,7 +183,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window
         ids = table.column("doc_id").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, blobs[i]))
         documents = [np.frombuffer(blobs[i], "<u2") for i in order]
-        rows = fill_windows([len(d) for d in documents], ShardIndex(documents), window)
+        rows = fill_windows([len(d) for d in documents], ShardIndex(documents, corpus.value), window)
         own = [documents[d][s : s + k].astype("<u4").tobytes() for d, s, k, _, _ in rows]
         base = shard << 32
         columns = [
@@ -173,4 +201,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window
     docs = docs.select("doc_id", "text")
     total = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    return encode_documents(docs, tokenizer_path, end_id, shards).groupBy("shard").applyInArrow(pack, PIECES)
+    encoded = staged(encode_documents(docs, tokenizer_path, end_id, shards), "encoded-documents")
+    corpus = docs.sparkSession.sparkContext.broadcast(corpus_statistics(encoded))
+    return encoded.groupBy("shard").applyInArrow(pack, PIECES)

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from siltstone.llm.packing import ShardIndex, fill_windows, pack_documents
+from siltstone.llm.packing import ShardIndex, corpus_statistics, fill_windows, pack_documents
 from siltstone.llm.queries import word_bpe
 from siltstone.llm.repair_store import ShardFile, encode_shard, expand, grammar_round_trip, pairs_to_rules
 from siltstone.llm.token_counts import count_tokens, scan_separators
@@ -127,3 +127,12 @@ def test_windows_use_all_neighbours_and_all_terms():
     many = [np.array([*range(100, 140), 9, *end]), np.array([7, 8, *end]), np.array([9, 5, *end]), *(np.array([*range(100, 140), *end]) for _ in range(2)), *(np.array([9, 300 + k, *end]) for k in range(30))]
     index = ShardIndex(many)
     assert index.scores(0)[2] > 0 and index.scores(0)[1] == 0
+
+
+def test_weights_are_those_of_all_documents(spark):
+    every = [np.array([5, 6, 6, 2], "<u2"), np.array([5, 7, 2], "<u2"), np.array([5, 2], "<u2"), np.array([2], "<u2")]
+    encoded = spark.createDataFrame([(d.tobytes(),) for d in every], "ids binary").repartition(3)
+    n, mean, df = corpus_statistics(encoded)
+    assert (n, mean, df[[2, 5, 6, 7]].tolist()) == (4, 1.5, [0, 3, 1, 1])
+    own, shard = ShardIndex(every), ShardIndex(every[:2], (n, mean, df))
+    assert np.allclose(shard.scores(0), own.scores(0)[:2])
