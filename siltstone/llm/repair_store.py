@@ -4,7 +4,8 @@ A shard's ids are one sequence in which each document ends with a mark beyond th
 be an ordinary word piece); reading turns the mark into the end id. Frequent neighbouring pairs become
 nonterminals, round after round; a nonterminal never spans a mark, so every document is a run of whole symbols.
 Each round counts all pairs by one sort, takes the most frequent ones and replaces those occurrences that are more
-frequent than their neighbours (so that replacements never overlap).
+frequent than their neighbours (so that replacements never overlap). Rounds go on until no pair has enough uses to be
+worth a rule, or all 16-bit symbols are taken.
 
 Layout of a shard file, little-endian: magic ``RPG1``, then six uint32 (documents, rules, symbols, base id, end id, 0),
 then int64 document ids, uint32 symbol offsets (documents + 1), uint32 token counts, uint16 left and right sides of the
@@ -34,14 +35,14 @@ MAGIC = b"RPG1"
 NO_ID = -(1 << 63)
 #: Ids of a shard before compression, about; a shard holds whole documents.
 SHARD_IDS = 1 << 20
-ROUNDS = 6
 RULES_A_ROUND = 2500
-LEAST_USES = 12
+#: A rule takes 8 bytes and each of its uses saves 2.
+LEAST_USES = 5
 
 MANIFEST = "part int, shard int, path string, documents long, tokens long, symbols long, rules long"
 
 
-def pairs_to_rules(seq: np.ndarray, end: int, base: int, rounds: int = ROUNDS, rules_a_round: int = RULES_A_ROUND, least: int = LEAST_USES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pairs_to_rules(seq: np.ndarray, end: int, base: int, rules_a_round: int = RULES_A_ROUND, least: int = LEAST_USES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair over ``seq`` (ids below ``base``): the symbols left, and the rules' left and right sides.
 
     Symbols must stay below 65536, so at most ``65536 - base`` rules are made.
@@ -50,7 +51,7 @@ def pairs_to_rules(seq: np.ndarray, end: int, base: int, rounds: int = ROUNDS, r
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     made = 0
-    for _ in range(rounds):
+    while True:
         room = min(rules_a_round, (1 << 16) - base - made)
         if room <= 0 or len(seq) < 2:
             break

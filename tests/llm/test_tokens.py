@@ -136,3 +136,9 @@ def test_weights_are_those_of_all_documents(spark):
     assert (n, mean, df[[2, 5, 6, 7]].tolist()) == (4, 1.5, [0, 3, 1, 1])
     own, shard = ShardIndex(every), ShardIndex(every[:2], (n, mean, df))
     assert np.allclose(shard.scores(0), own.scores(0)[:2])
+
+
+def test_grammar_of_copies_has_a_few_symbols_each():
+    text = np.append(np.random.default_rng(0).integers(0, 40_000, 4096), 49408)
+    symbols, left, right = pairs_to_rules(np.tile(text, 50), 49408, 49409)
+    assert len(symbols) <= 50 * 8 and expand(symbols, left, right, 49409).tolist() == np.tile(text, 50).tolist()
