@@ -89,7 +89,7 @@ def close_pairs(fps: DataFrame, bits: int) -> DataFrame:
     return near.select(F.col("id").alias("a"), "b", F.bit_count(F.col("fp").bitwiseXOR(F.col("fb"))).alias("distance")).where(F.col("distance") <= bits).distinct()
 
 
-def near_greedy(docs: DataFrame, bits: int = 3, least_chars: int = 50, rounds: int = 100) -> DataFrame:
+def near_greedy(docs: DataFrame, bits: int = 3, least_chars: int = 50) -> DataFrame:
     """(doc_id, simhash_64, is_duplicate, duplicate_type, duplicate_match) of ``docs(doc_id, text)`` in order of ids.
 
     A row with no closer earlier neighbour is kept; a row next to a kept one goes; repeated until all are decided. Every
@@ -102,9 +102,7 @@ def near_greedy(docs: DataFrame, bits: int = 3, least_chars: int = 50, rounds: i
     pairs = close_pairs(first.select(F.col("doc_id").alias("id"), "fp"), bits).persist()
     went = spark.createDataFrame([], "gone long, match long")
     open_ = pairs
-    for _ in range(rounds):
-        if open_.isEmpty():
-            break
+    while not open_.isEmpty():
         later = open_.select(F.col("b").alias("later")).distinct()
         kept = open_.select("a").distinct().join(later, F.col("a") == F.col("later"), "left_anti")
         gone = open_.join(kept.select(F.col("a").alias("k")), F.col("a") == F.col("k")).groupBy(F.col("b").alias("gone")).agg(F.min("a").alias("match")).checkpoint()

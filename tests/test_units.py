@@ -164,3 +164,12 @@ def test_declared_pipeline(spark, tmp_path):
     for bad in ("name: x", "name: x\nsource: {}\noutput: {format: xml}", "name: x\nsource: {}\noutput: {}\nstages: []", "name: x\nsource: {}\noutput: {}\nquality: {acton: drop}"):
         with pytest.raises(ValueError):
             config.load(bad)
+
+
+def test_near_dedup_decides_long_chains(spark, monkeypatch):
+    """Each row is next to the one before it only, so every other one goes; more rounds than a hundred."""
+    rows = [(k, f"text {k}") for k in range(210)]
+    chain = spark.createDataFrame([(k, k + 1, 1) for k in range(209)], "a long, b long, distance int").coalesce(1)
+    monkeypatch.setattr(dedup, "close_pairs", lambda fps, bits: chain)
+    got = dedup.near_greedy(spark.createDataFrame(rows, "doc_id long, text string"), least_chars=1).collect()
+    assert sorted(r.doc_id for r in got if r.is_duplicate) == list(range(1, 210, 2))
