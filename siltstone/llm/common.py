@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
+import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that a Python stage handles at once, whatever the Arrow batch holds.
 CHUNK_BYTES = 4 << 20
@@ -21,11 +24,14 @@ CHUNK_BYTES = 4 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests in one JVM) a temporary folder is made and removed at exit.
+    Only where none is named and all runs in one machine (a local master, as in tests) a temporary folder is made and
+    removed at exit; on a cluster that is an error, as executors would not see the driver's folder.
     """
     conf = spark.sparkContext.getConf()
     named = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="siltstone-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         named = f"file://{own}"
@@ -44,6 +50,34 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def reserved(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, also those with dots or quotes in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``df.mapInArrow`` for columns of any name: they are called by their places in between.
+
+    ``run`` gets and gives batches with the names of ``df`` and ``schema``.
+    """
+    names, after = df.columns, schema.names
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(b.rename_columns(names) for b in batches):
+            yield out.rename_columns([f"c{k}" for k in range(len(after))])
+
+    placed = StructType([StructField(f"c{k}", f.dataType, f.nullable) for k, f in enumerate(schema.fields)])
+    return df.toDF(*(f"c{k}" for k in range(len(names)))).mapInArrow(plain, placed).toDF(*after)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal few rows that each mean much work over as many tasks as the session has shuffle partitions.
 
@@ -97,6 +131,15 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: in
         yield batch.slice(at)
 
 
+def free_memory() -> None:
+    """Give memory that a Python worker no longer uses back to the machine, as the worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library, without this call
+        pass
+
+
 def with_prefix_sums(df: DataFrame, part: str, order: list[str], sums: dict[str, str]) -> DataFrame:
     """Exclusive global prefix sums in two levels: within each part, and over the parts' totals.
 

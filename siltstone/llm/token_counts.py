@@ -6,8 +6,9 @@ borders is stitched together by a prefix scan over the blocks: the running count
 and the running maximum of their places says where the first document of a block began.
 
 Nulls and edges: an empty or null text has zero tokens (two separators in a row); ids after a file's last separator are
-a document of their own with ``closed`` false; an empty file has no documents; a block without separators only passes on
-what lies before it. Null, repeated and tied document ids are kept, one row for each input row.
+a document of their own with ``closed`` false; very long texts cross as many blocks as they need; an empty file has no documents; a block without separators only passes on
+what lies before it. Null, repeated and tied document ids are kept, one row for each input row; other columns than doc_id and text are not
+looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,16 +21,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import fresh_path, read_range, spread, staged, text_chunks, write_blob
+from siltstone.llm.common import free_memory, fresh_path, read_range, spread, staged, text_chunks, write_blob
 from siltstone.llm.tokenizing import encoder as encoder_of
+from siltstone.llm.tokenizing import id_type
 
 BLOCK_BYTES = 4 << 20
 #: A new file begins once one has so many ids; files hold whole documents.
 FILE_IDS = 8 << 20
+#: Or so many documents, as a file's document ids are one row of its manifest.
+FILE_DOCUMENTS = 1 << 19
+
+
+def id_width(tokenizer_path: str, separator: int) -> int:
+    """Bytes of an id."""
+    return 2 if max(id_type(tokenizer_path)[1], separator + 1) <= 1 << 16 else 4
 
 
 def write_flat_tokens(docs: DataFrame, folder: str, tokenizer_path: str, separator: int = 49408, file_ids: int = FILE_IDS) -> DataFrame:
-    """Write ``docs(doc_id, text)`` as flat uint16 files; returns (path, bytes, doc_ids), one row for each file."""
+    """Write ``docs(doc_id, text)`` as flat files; returns (path, bytes, doc_ids), one row for each file.
+
+    Ids are uint16, or uint32 where the vocabulary or the separator needs it (``id_width``).
+    """
+    kind = f"<u{id_width(tokenizer_path, separator)}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, held, ids, n = encoder_of(tokenizer_path), [], [], 0
@@ -38,13 +51,13 @@ def write_flat_tokens(docs: DataFrame, folder: str, tokenizer_path: str, separat
             nonlocal held, ids, n
             path = f"{folder}/{uuid.uuid4().hex}.bin"
             write_blob(path, [x.tobytes() for x in held])
-            out = pa.RecordBatch.from_arrays([pa.array([path]), pa.array([2 * n], pa.int64()), pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64()))], ["path", "bytes", "doc_ids"])
+            out = pa.RecordBatch.from_arrays([pa.array([path]), pa.array([n * int(kind[-1])], pa.int64()), pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64()))], ["path", "bytes", "doc_ids"])
             held, ids, n = [], [], 0
             return out
 
         for batch in text_chunks(batches, limit=1 << 20):
             flat, sizes = encoder.encode(batch.column("text"))
-            out = np.empty(len(flat) + len(sizes), "<u2")
+            out = np.empty(len(flat) + len(sizes), kind)
             stops = np.cumsum(sizes + 1) - 1
             inner = np.ones(len(out), bool)
             inner[stops] = False
@@ -52,10 +65,11 @@ def write_flat_tokens(docs: DataFrame, folder: str, tokenizer_path: str, separat
             held.append(out)
             ids.append(batch.column("doc_id").cast(pa.int64()))
             n += len(out)
-            if n >= file_ids:
+            if n >= file_ids or sum(map(len, ids)) >= FILE_DOCUMENTS:
                 yield flush()
         if n:
             yield flush()
+        free_memory()
 
     return staged(docs.select("doc_id", "text").mapInArrow(write, "path string, bytes long, doc_ids array<long>"), "token-files")
 
@@ -94,10 +108,10 @@ def scan_separators(files: DataFrame, separator: int = 49408, width: int = 2, bl
     return closed.unionByName(rest)
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer_path: str, separator: int = 49408) -> DataFrame:
     """Write ``docs`` as flat token files, scan them, and give each document its count: (doc_id, n_tokens, path, start)."""
-    files = write_flat_tokens(docs, fresh_path(docs.sparkSession, "flat-tokens"), tokenizer_path)
-    found = scan_separators(files.select("path", "bytes"))
+    files = write_flat_tokens(docs, fresh_path(docs.sparkSession, "flat-tokens"), tokenizer_path, separator)
+    found = scan_separators(files.select("path", "bytes"), separator, id_width(tokenizer_path, separator))
     names = files.select("path", F.posexplode("doc_ids").alias("ordinal", "doc_id"))
     # Both sides grow with the documents, though the planner takes the lists for small: never broadcast one.
     joined = found.join(names.hint("merge"), (found["path"] == names["path"]) & (found["ordinal"] == names["ordinal"]))

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from functools import lru_cache
 from itertools import repeat
 
@@ -21,13 +20,13 @@ MEMO_PIECES = 350_000
 
 #: A text with other characters than Latin-1 keeps its case here: only the vocabulary's own normaliser treats it.
 _WIDE = r"[^\x{00}-\x{ff}]"
-#: One mark between a letter and a blank is a run of its own for the vocabulary's splitter.
-_MARK = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,;:!?])( |$)"
-_LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+\Z")
-#: Byte-level vocabularies spell a byte of a non-ASCII letter as the character of this number, or 256 and up for bytes that print nothing.
-_BYTES = {b: c for b, c in zip([*range(33, 127), *range(161, 173), *range(174, 256)], [*range(33, 127), *range(161, 173), *range(174, 256)])}
-_BYTES |= {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _BYTES)}
-_SPELT = {c: "".join(chr(_BYTES[b]) for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+#: ASCII marks between a letter and a blank are a run of their own for the vocabulary's splitter. Those of which special
+#: tokens are made are left out.
+_MARK = r"([a-z\x{df}-\x{f6}\x{f8}-\x{ff}])([.,;:!?%*&$#()\"-]+)( |$)"
+_LETTERS = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
+#: Byte-level vocabularies spell bytes that print nothing as characters from 256 on, in order; of the bytes of these
+#: letters in UTF-8 only three are such.
+_SPELT = [(chr(b), chr(256 + [*range(33), *range(127, 161), 173].index(b))) for b in (0x9F, 0xA0, 0xAD)]
 
 
 @lru_cache(maxsize=2)
@@ -36,6 +35,15 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+@lru_cache(maxsize=8)
+def id_type(path: str) -> tuple[str, int]:
+    """The numpy type that holds the vocabulary's ids, and how many ids there are."""
+    from tokenizers import Tokenizer
+
+    size = 1 + max(Tokenizer.from_file(path).get_vocab().values())
+    return ("<u2" if size <= 1 << 16 else "<u4"), size
+
+
 class PieceEncoder:
     """``encode(texts)`` gives one flat uint16/uint32 array of ids and each text's count."""
 
@@ -89,18 +97,19 @@ class PieceEncoder:
         self.memo.update(zip(pieces, range(self.n, self.n + k)))
         self.n, self.used = self.n + k, self.used + total
 
-    def _learn(self, pieces: list[str]) -> None:
-        rest = pieces
-        if self.letters is not None:
-            plain = [p for p in pieces if (p.isascii() and p.isalpha() and p.islower()) or _LETTERS.match(p)]
-            if plain:
-                spelt = [p if p.isascii() else p.translate(_SPELT) for p in plain]
-                joined = [" ".join(spelt[i : i + 512]) for i in range(0, len(plain), 512)]
-                ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)])
-                stops = np.flatnonzero(self.ends[ids]) + 1
-                if len(stops) == len(plain) and stops[-1] == len(ids):
-                    self._add_all(plain, ids, stops)
-                    rest = [p for p in pieces if p not in self.memo]
+    def _learn(self, pieces: np.ndarray, plain: np.ndarray) -> None:
+        """Encode and remember ``pieces``; ``plain`` marks those of lower-case Latin-1 letters alone."""
+        rest = pieces.tolist()
+        if self.letters is not None and plain.any():
+            words = pieces[plain].tolist()
+            joined = [" ".join(words[i : i + 512]).encode().decode("latin-1") for i in range(0, len(words), 512)]
+            for byte, spelt in _SPELT:
+                joined = [x.replace(byte, spelt) for x in joined]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)])
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(words) and stops[-1] == len(ids):
+                self._add_all(words, ids, stops)
+                rest = pieces[~plain].tolist()
         if self.mark is not None:
             # A special token between pieces parts them before anything else looks at the text.
             name, number = self.mark
@@ -131,12 +140,12 @@ class PieceEncoder:
         column = pc.replace_substring_regex(column, _MARK, r"\1 \2\3")
         lists = pc.split_pattern(column, " ")
         pieces = lists.flatten().dictionary_encode()
-        own = pieces.dictionary.to_pylist()
+        own = pieces.dictionary.to_numpy(zero_copy_only=False)
         at = np.fromiter(map(self.memo.get, own, repeat(-1)), np.int64, len(own))
         if len(gaps := np.flatnonzero(at < 0)):
-            new = [own[i] for i in gaps.tolist()]
-            self._learn(new)
-            at[gaps] = np.fromiter(map(self.memo.__getitem__, new), np.int64, len(new))
+            plain = pc.match_substring_regex(pieces.dictionary.take(pa.array(gaps)), _LETTERS)
+            self._learn(own[gaps], plain.to_numpy(zero_copy_only=False))
+            at[gaps] = np.fromiter(map(self.memo.__getitem__, own[gaps]), np.int64, len(gaps))
         self.uses[at] += 1
         at = at[pieces.indices.to_numpy()]
         lengths = self.length[at]

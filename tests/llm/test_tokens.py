@@ -1,12 +1,13 @@
 """Token files, grammar shards and packing against plain encoding."""
 
+import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from siltstone.llm.packing import ShardIndex, corpus_statistics, fill_windows, pack_documents
+from siltstone.llm.packing import ShardIndex, corpus_statistics, encode_documents, fill_windows, fit_router, pack_documents
 from siltstone.llm.queries import word_bpe
 from siltstone.llm.repair_store import ShardFile, encode_shard, expand, grammar_round_trip, pairs_to_rules
 from siltstone.llm.token_counts import count_tokens, scan_separators
@@ -90,7 +91,7 @@ def test_count_tokens(docs, empty, rows, whole):
 
 
 def test_packing_covers_every_id_once(docs, empty, rows, whole):
-    pieces = pack_documents(docs, word_bpe(), shard_bytes=60_000).collect()
+    pieces = pack_documents(docs, word_bpe(), shard_ids=20_000).collect()
     by_sequence = defaultdict(list)
     for p in pieces:
         by_sequence[p.sequence_id].append(p)
@@ -142,3 +143,120 @@ def test_grammar_of_copies_has_a_few_symbols_each():
     text = np.append(np.random.default_rng(0).integers(0, 40_000, 4096), 49408)
     symbols, left, right = pairs_to_rules(np.tile(text, 50), 49408, 49409)
     assert len(symbols) <= 50 * 8 and expand(symbols, left, right, 49409).tolist() == np.tile(text, 50).tolist()
+
+
+def plain_scores(documents, seed):
+    """BM25 of every document against all distinct terms of the seed, by the formula."""
+    bare = [d[:-1].tolist() for d in documents]
+    n, mean = len(bare), sum(map(len, bare)) / len(bare)
+    df = Counter(t for d in bare for t in set(d))
+    out = []
+    for d in bare:
+        tf = Counter(d)
+        out.append(sum(math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t in set(bare[seed]) if tf[t]))
+    return out
+
+
+def plain_windows(documents, window):
+    """Documents in the order in which windows take them up."""
+    unused, order, filled = set(range(len(documents))), [], 0
+
+    def take(k):
+        unused.discard(k)
+        order.append(k)
+
+    seed = rest = None
+    while unused or rest:
+        if rest is None:
+            seed = min(unused)
+            take(seed)
+            rest = len(documents[seed])
+        scores = plain_scores(documents, seed)
+        while rest:
+            used = min(rest, window - filled)
+            filled, rest = filled + used, rest - used
+            if filled == window:
+                filled = 0
+                seed = order[-1]
+                break
+            near = [k for k in unused if scores[k] > 1e-9]
+            if not rest and near:
+                k = min(near, key=lambda k: (-round(scores[k], 4), k))
+                take(k)
+                rest = len(documents[k])
+        rest = rest or None
+    return order
+
+
+def test_scores_and_order_match_plain_bm25():
+    rng = np.random.default_rng(3)
+    for _ in range(6):
+        documents = [np.append(rng.zipf(1.4, rng.integers(0, 40)) % 60 + 3, 2) for _ in range(60)]
+        documents += documents[:10]
+        index = ShardIndex(documents)
+        for seed in range(0, 70, 9):
+            got, want = index.scores(seed), np.array(plain_scores(documents, seed))
+            want[seed] = got[seed]  # a seed's own score is never used
+            assert np.allclose(got, want, rtol=1e-4, atol=1e-4)
+        pieces = fill_windows([len(d) for d in documents], index, window=64)
+        assert list(dict.fromkeys(p[0] for p in pieces)) == plain_windows(documents, 64)
+
+
+def test_routing_puts_like_documents_side_by_side(spark):
+    rng = np.random.default_rng(5)
+    tongues = [["".join(rng.choice(list("bcdfglmnprst"), 3)) + v for _ in range(150)] for v in "aeiu"]
+    texts = [" ".join(rng.choice(tongues[k % 4], 60)) for k in range(240)]
+    texts += texts[:8]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sample = encode_documents(docs, word_bpe(), 2, "<u2").persist()
+    router = fit_router(sample, "<u2", 49408)
+    places = {r.doc_id: (r.leaf, r["first"], r.second) for r in encode_documents(docs, word_bpe(), 2, "<u2", router).collect()}
+    order = sorted(places, key=places.get)
+    turns = sum(a % 4 != b % 4 for a, b in zip([k - 240 if k >= 240 else k for k in order], [k - 240 if k >= 240 else k for k in order[1:]]))
+    assert turns <= 12  # in any order of chance some 180
+    assert all(places[k] == places[240 + k] for k in range(8))
+
+
+def test_wide_ids_are_kept():
+    from siltstone.llm import token_counts
+
+    assert token_counts.id_width(word_bpe(), 49408) == 2 and token_counts.id_width(word_bpe(), 1 << 16) == 4
+
+
+def textbook_grammar(seq, end, base, least):
+    """Re-Pair one pair at a time: symbols and rules left."""
+    seq, rules = list(seq), 0
+    while True:
+        counts, last = Counter(), {}
+        for k, pair in enumerate(zip(seq, seq[1:])):
+            if end not in pair and last.get(pair) != k - 1:
+                counts[pair] += 1
+                last[pair] = k
+        if not counts or max(counts.values()) < least:
+            return len(seq), rules
+        pair = max(counts, key=lambda p: (counts[p], p))
+        out, k = [], 0
+        while k < len(seq):
+            if tuple(seq[k : k + 2]) == pair:
+                out.append(base + rules)
+                k += 2
+            else:
+                out.append(seq[k])
+                k += 1
+        seq, rules = out, rules + 1
+
+
+@pytest.mark.parametrize("case", ["random", "runs", "one", "two", "copies"])
+def test_grammar_is_about_as_small_as_the_textbook_one(case):
+    rng = np.random.default_rng(9)
+    seq = {
+        "random": rng.zipf(1.5, 4000) % 50,
+        "runs": np.repeat(rng.integers(0, 6, 300), rng.integers(1, 40, 300)),
+        "one": np.full(5000, 5),
+        "two": np.tile([5, 6], 2500),
+        "copies": np.tile(np.append(rng.integers(0, 90, 150), 99), 30),
+    }[case]
+    symbols, left, right = pairs_to_rules(seq, 99, 100)
+    assert expand(symbols, left, right, 100).tolist() == seq.tolist()
+    n, rules = textbook_grammar(seq.tolist(), 99, 100, 5)
+    assert len(symbols) + 2 * len(left) <= 1.2 * (n + 2 * rules) + 10
