@@ -3,8 +3,8 @@
 A shard's ids are one sequence in which each document ends with a mark beyond the vocabulary (the end id itself may also
 be an ordinary word piece); reading turns the mark into the end id. Frequent neighbouring pairs become
 nonterminals, round after round; a nonterminal never spans a mark, so every document is a run of whole symbols.
-Each round counts all pairs by one sort, takes the most frequent ones and replaces those occurrences that are more
-frequent than their neighbours (so that replacements never overlap). Rounds go on until no pair has enough uses to be
+Each round counts all pairs by one sort (in a run of one id every second place), takes the most frequent ones and replaces
+those occurrences that are more frequent than their neighbours (so that replacements never overlap). Rounds go on until no pair has enough uses to be
 worth a rule, or all 16-bit symbols are taken.
 
 Layout of a shard file, little-endian: magic ``RPG1``, then six uint32 (documents, rules, symbols, base id, end id, 0),
@@ -13,7 +13,7 @@ rules, uint32 expansion lengths of the rules, uint16 symbols.
 
 Nulls and edges: a null text counts as empty and has the end id alone; a null document id is stored as the least int64
 and read as null (nulls first); an empty table writes no file; repeated ids stay separate rows in the order of their
-texts' hashes.
+texts' hashes; very long texts make a shard as long as they need; other columns than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import fresh_path, read_blob, spread, staged, text_chunks, with_prefix_sums, write_blob
+from siltstone.llm.common import free_memory, fresh_path, read_blob, spread, staged, text_chunks, with_prefix_sums, write_blob
 from siltstone.llm.tokenizing import encoder as encoder_of
 
 MAGIC = b"RPG1"
@@ -57,6 +57,11 @@ def pairs_to_rules(seq: np.ndarray, end: int, base: int, rules_a_round: int = RU
             break
         code = (seq[:-1] << np.uint32(16)) | seq[1:]
         open_ = (seq[:-1] != end) & (seq[1:] != end)
+        again = np.concatenate([[False], code[1:] == code[:-1]])
+        if again.any():
+            # In a run of one id its pairs overlap: every second place is one.
+            place = np.arange(len(code))
+            open_ &= ((place - np.maximum.accumulate(np.where(again, 0, place))) & 1) == 0
         ordered = np.sort(code[open_])
         if not len(ordered):
             break
@@ -228,8 +233,11 @@ def write_grammar_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_
                 yield flush()
         if n:
             yield flush()
+        free_memory()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
+    # Rows of one id, null ids among them, are dealt on by their texts and at last by their place, so they may fill many tasks.
+    key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
+    ordered = docs.select("doc_id", "text").repartitionByRange(*key)
     ordered = ordered.withColumn("part", F.spark_partition_id()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return staged(ordered.mapInArrow(write, MANIFEST), "grammar-manifest")
 
