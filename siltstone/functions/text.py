@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 #: Fixed value: the characters that count as white space.
 WS = r"\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
@@ -33,9 +34,18 @@ INVISIBLE = r"\x{AD}\x{200B}\x{200D}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\
 PARATEXT = ("table of contents", "editorial board", "author index", "subject index", "title page", "back matter", "front matter", "contents of volume", "issue information")
 
 
+#: The same characters one by one, for functions that take a list of characters.
+WS_CHARS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 @F.pandas_udf(StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+def _nfkc(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: x if x is None or unicodedata.is_normalized("NFKC", x) else unicodedata.normalize("NFKC", x))
+
+
+def nfkc(c: Column) -> Column:
+    """Compatibility form. Only texts with other characters than ASCII are sent to Python; the rest is in it already."""
+    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
 @F.pandas_udf(StringType())
@@ -53,7 +63,32 @@ def sub(c: Column, pattern: str, to: str) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return sub(c, rf"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(c, F.lit(WS_CHARS))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once for each row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: White space beyond blank, tab and line ends.
+_RARE_WS = WS_CHARS.replace("\t", "").replace("\n", "").replace("\r", "").replace(" ", "")
+
+
+def word_sizes(c: Column) -> Column:
+    """(words, solid): how many runs of other characters than white space there are, and their length.
+
+    All white space is made one blank for each run; the blanks that are left are counted by length, not by matching words.
+    """
+    for mark in "\n\t\r":
+        c = F.replace(c, F.lit(mark), F.lit(" "))
+    plain = let(c, lambda x: F.when(x.rlike(f"[{_RARE_WS}]"), F.translate(x, _RARE_WS, " " * len(_RARE_WS))).otherwise(x))
+    lengths = let(strip(sub(plain, "  +", " ")), lambda x: F.struct(F.length(x).alias("n"), F.length(F.replace(x, F.lit(" "), F.lit(""))).alias("solid")))
+    return let(lengths, lambda x: F.struct(F.when(x["n"] == 0, 0).otherwise(x["n"] - x["solid"] + 1).alias("words"), x["solid"].alias("solid")))
+
+
+def word_count(c: Column) -> Column:
+    return word_sizes(c)["words"]
 
 
 def first_text(*names: str) -> Column:
@@ -61,13 +96,17 @@ def first_text(*names: str) -> Column:
     return F.coalesce(*(F.nullif(F.col(n), F.lit("")) for n in names))
 
 
+#: Control characters but tab and line ends, and invisible ones.
+_DROPPED = "".join(chr(k) for k in (*range(9), 11, 12, *range(14, 32), 127, 0x200B, 0x200C, 0x200D, 0xFEFF, 0x2060))
+
+
 def normalise(c: Column, max_breaks: int = 2, compose: bool = True) -> Column:
     """Compatibility form, invisible and control characters, line ends, blanks in lines, runs of breaks (one more than the maximum stays), ends."""
     c = nfkc(c) if compose else c
-    c = sub(sub(c, r"\x{A0}", " "), r"[\x{200B}-\x{200D}\x{FEFF}\x{2060}]", "")
-    c = sub(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
-    c = sub(c, r"\r\n|\r", "\n")
-    c = sub(sub(c, r"[ \t]+", " "), r"(?m)^ | $", "")
+    # One pass for all that is deleted or becomes a blank.
+    c = F.translate(c, "\xa0" + _DROPPED, " ")
+    c = F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    c = F.array_join(F.transform(F.split(sub(c, r"[ \t]{2,}|\t", " "), "\n"), strip), "\n")
     return strip(sub(c, rf"\n{{{max_breaks + 1},}}", "\n" * (max_breaks + 1)))
 
 
@@ -86,13 +125,29 @@ def normalise_corpus(c: Column, mask: bool = True) -> Column:
     return strip(sub(sub(c, rf"[{blanks}]{{2,}}", " "), r"\n{3,}", "\n\n"))
 
 
-def clean_markup(c: Column, controls: bool = True, entities: Column | None = None) -> Column:
-    """Tags and (if asked) control characters as blanks, entities, blanks before punctuation, paragraphs one blank line apart."""
+@F.pandas_udf(ArrayType(StringType()))
+def unescaped_all(s: pd.Series) -> pd.Series:
+    return s.map(lambda xs: None if xs is None else [None if x is None else html.unescape(x) for x in xs])
+
+
+def _untagged(c: Column, controls: bool = True) -> Column:
     c = sub(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", " ") if controls else c
-    c = unescaped(sub(c, r"<[^>]+>", " "))
-    c = sub(c, r"\s+([.,;:!?])", "$1")
-    paragraphs = F.transform(F.split(c, r"\n\s*\n+"), lambda p: F.trim(sub(p, r"[ \t]+", " ")))
-    return strip(F.array_join(F.filter(F.transform(paragraphs, strip), lambda p: p != ""), "\n\n"))
+    return sub(c, r"<[^>]+>", " ")
+
+
+def _in_paragraphs(c: Column) -> Column:
+    paragraphs = F.transform(F.split(sub(c, r"\s+([.,;:!?])", "$1"), r"\n\s*\n+"), lambda p: strip(sub(p, r"[ \t]+", " ")))
+    return strip(F.array_join(F.filter(paragraphs, lambda p: p != ""), "\n\n"))
+
+
+def clean_markup(c: Column, controls: bool = True) -> Column:
+    """Tags and (if asked) control characters as blanks, entities, blanks before punctuation, paragraphs one blank line apart."""
+    return _in_paragraphs(unescaped(_untagged(c, controls)))
+
+
+def clean_markup_all(array: Column) -> Column:
+    """``clean_markup`` of every entry; null entries become empty."""
+    return F.transform(unescaped_all(F.transform(array, lambda x: _untagged(F.coalesce(x, F.lit(""))))), _in_paragraphs)
 
 
 def strip_invisible(c: Column, keep_joiners: bool = False) -> Column:
@@ -105,8 +160,9 @@ def invisible_histogram(c: Column) -> Column:
 
 
 def fold_turkish(c: Column) -> Column:
-    """Dotted and dotless i first, then lower case, then marks: the order matters."""
-    return F.trim(F.translate(F.lower(F.translate(c, "İI", "iı")), "çğıöşü", "cgiosu"))
+    """Dotted and dotless i first, then lower case, then letters with marks, then marks of their own: the order matters."""
+    low = F.translate(F.lower(F.translate(c, "İI", "iı")), "çğıöşü", "cgiosu")
+    return F.trim(sub(low, r"[\x{300}-\x{36F}]+", ""))
 
 
 def estimated_tokens(c: Column) -> Column:
@@ -133,22 +189,46 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def with_quality_metrics(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the rounded metrics of a text; gates compare the rounded values."""
-    df = once(df, __t=strip(F.coalesce(F.col(text), F.lit(""))))
-    df = once(df, __lines=F.filter(F.transform(F.split("__t", "\n"), strip), lambda x: x != ""), __words=F.regexp_count("__t", F.lit(f"[^{WS}]+")))
-    t, lines, chars, words = F.col("__t"), F.col("__lines"), F.length("__t"), F.col("__words")
-    return df.withColumns(
-        {
-            "char_count": chars.cast("long"),
-            "word_count": words.cast("long"),
-            "estimated_tokens": F.ceil(chars / 4).cast("long"),
-            "alpha_ratio": share(F.length(sub(t, r"[^\p{L}]+", "")), chars),
-            "symbol_ratio": share(F.length(sub(t, f"[^{SYMBOLS}]+", "")), chars),
-            "duplicate_line_fraction": share(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines)),
-            "ellipsis_line_fraction": share(F.size(F.filter(lines, lambda x: x.endswith("...") | x.endswith("…"))), F.size(lines)),
-            "mean_word_length": share(F.length(sub(t, f"[{WS}]+", "")), words, 2),
-        }
-    ).drop("__t", "__lines", "__words")
+    """``df`` with the rounded metrics of a text; gates compare the rounded values.
+
+    All metrics are one struct, whose parts are computed once each; lines are only parted where a text has more than one.
+    """
+
+    def ellipsis(x: Column) -> Column:
+        return x.endswith("...") | x.endswith("…")
+
+    def of_lines(lines: Column) -> Column:
+        n = F.size(lines)
+        return F.struct(share(n - F.size(F.array_distinct(lines)), n).alias("copies"), share(F.size(F.filter(lines, ellipsis)), n).alias("ellipses"))
+
+    def of_counts(c: Column) -> Column:
+        chars, words, lines = c["chars"], c["sizes"]["words"], c["lines"]
+        return F.struct(
+            chars.cast("long").alias("char_count"),
+            words.cast("long").alias("word_count"),
+            F.ceil(chars / 4).cast("long").alias("estimated_tokens"),
+            share(c["letters"], chars).alias("alpha_ratio"),
+            share(c["symbols"], chars).alias("symbol_ratio"),
+            lines["copies"].alias("duplicate_line_fraction"),
+            lines["ellipses"].alias("ellipsis_line_fraction"),
+            share(c["sizes"]["solid"], words, 2).alias("mean_word_length"),
+        )
+
+    def of_text(t: Column) -> Column:
+        one = F.struct(F.lit(0.0).alias("copies"), F.when(ellipsis(t), 1.0).otherwise(0.0).alias("ellipses"))
+        many = let(F.filter(F.transform(F.split(t, "\n"), strip), lambda x: x != ""), of_lines)
+        counts = F.struct(
+            F.length(t).alias("chars"),
+            word_sizes(t).alias("sizes"),
+            (F.length(t) - F.length(sub(t, r"\p{L}+", ""))).alias("letters"),
+            F.length(sub(t, f"[^{SYMBOLS}]+", "")).alias("symbols"),
+            F.when(F.contains(t, F.lit("\n")), many).otherwise(one).alias("lines"),
+        )
+        return let(counts, of_counts)
+
+    metrics = let(strip(F.coalesce(F.col(text), F.lit(""))), of_text)
+    # A generator, so that a filter on the metrics is not pushed below them, which would compute them twice.
+    return df.select("*", F.explode(F.array(metrics)).alias("__metrics")).select("*", "__metrics.*").drop("__metrics")
 
 
 METRICS = ("char_count", "word_count", "estimated_tokens", "alpha_ratio", "symbol_ratio", "duplicate_line_fraction", "ellipsis_line_fraction", "mean_word_length")
@@ -176,29 +256,36 @@ def gate_reasons(limits: dict | None = None) -> Column:
 def with_first_failure(df: DataFrame, text: str = "text", name: str = "reason") -> DataFrame:
     """``df`` with the first rule that a text fails, or null."""
     c = F.col(text)
-    lines = F.filter(F.transform(F.split(c, "\n"), strip), lambda x: F.length(x) > 10)
-    df = once(df, __words=F.regexp_count(c, F.lit(f"[^{WS}]+")), __lines=F.array_sort(lines))
-    # Equal lines stand together once sorted: the longest run is the most common line's count.
-    run = F.aggregate(
-        "__lines",
-        F.struct(F.lit("").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("most")),
-        lambda acc, x: F.struct(
-            x.alias("last"),
-            F.when(acc["last"] == x, acc["n"] + 1).otherwise(1).alias("n"),
-            F.greatest(acc["most"], F.when(acc["last"] == x, acc["n"] + 1).otherwise(1)).alias("most"),
-        ),
-        lambda acc: acc["most"],
-    )
-    chars, words, lines = F.length(c), F.col("__words"), F.col("__lines")
-    mean = F.length(sub(c, f"[{WS}]+", "")) / words
-    reason = (
-        F.when(chars < 100, F.lit("too_short_chars"))
-        .when(words < 20, F.lit("too_few_words"))
-        .when((mean < 3) | (mean > 15), F.lit("abnormal_word_length"))
-        .when(F.length(sub(c, f"[^{GOPHER_SYMBOLS}]+", "")) / chars > 0.25, F.lit("high_symbol_ratio"))
-        .when((F.size(lines) >= 5) & (run / F.size(lines) > 0.35), F.lit("high_repeated_line_ratio"))
-    )
-    return df.withColumn(name, reason).drop("__words", "__lines")
+    chars = F.length(c)
+
+    def most(lines: Column) -> Column:
+        """How often the most common line stands: equal lines stand together once sorted."""
+        start = F.struct(F.lit("").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("most"))
+
+        def step(acc: Column, x: Column) -> Column:
+            n = F.when(acc["last"] == x, acc["n"] + 1).otherwise(1)
+            return F.struct(x.alias("last"), n.alias("n"), F.greatest(acc["most"], n).alias("most"))
+
+        return F.aggregate(F.array_sort(lines), start, step, lambda acc: acc["most"])
+
+    def repeated(lines: Column) -> Column:
+        n = F.size(lines)
+        # Only where enough lines are copies at all are they counted one by one.
+        may = (n >= 5) & ((n - F.size(F.array_distinct(lines)) + 1) / n > 0.35)
+        return F.when(may, most(lines) / n > 0.35).otherwise(False)
+
+    long_lines = F.filter(F.transform(F.split(c, "\n"), strip), lambda x: F.length(x) > 10)
+
+    def rules(sizes: Column) -> Column:
+        mean = sizes["solid"] / sizes["words"]
+        return (
+            F.when(sizes["words"] < 20, F.lit("too_few_words"))
+            .when((mean < 3) | (mean > 15), F.lit("abnormal_word_length"))
+            .when(F.length(sub(c, f"[^{GOPHER_SYMBOLS}]+", "")) / chars > 0.25, F.lit("high_symbol_ratio"))
+            .when(F.contains(c, F.lit("\n")) & let(long_lines, repeated), F.lit("high_repeated_line_ratio"))
+        )
+
+    return df.withColumn(name, F.when(chars < 100, F.lit("too_short_chars")).otherwise(let(word_sizes(c), rules)))
 
 
 def is_paratext(title: Column) -> Column:

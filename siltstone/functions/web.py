@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,28 +85,18 @@ def robots_allows(urls: DataFrame, url: str, robots: str, agent: str) -> DataFra
     return urls.withColumn("allowed", F.coalesce(best["a"], F.lit(True)) if found else F.lit(True))
 
 
-def _cron_field(pattern: str, value: Column, low: int, high: int) -> Column:
-    if pattern == "*":
-        return F.lit(True)
-    if "," in pattern:
-        out = F.lit(False)
-        for part in pattern.split(","):
-            out = out | _cron_field(part.strip(), value, low, high)
-        return out
-    span, slash, step = pattern.partition("/")
-    if slash:
-        if not step.isdigit() or int(step) <= 0:
-            return F.lit(False)
-        a, b = low, high
-        if span != "*":
-            first, dash, last = span.partition("-")
-            a = int(first)
-            b = int(last) if dash else high
-        return value.between(a, b) & ((value - a) % int(step) == 0)
-    first, dash, last = pattern.partition("-")
-    if not first.isdigit() or (dash and not last.isdigit()):
-        return F.lit(False)
-    return value.between(int(first), int(last)) if dash else value == int(first)
+def _cron_values(field: str, low: int, high: int) -> list[int]:
+    """The numbers that a field names: a list of single numbers, spans or all, each with a step or without; what can't be read names none."""
+    out: set[int] = set()
+    for item in field.split(","):
+        m = re.fullmatch(r"\s*(?:(\*)|(\d+)(?:-(\d+))?)(?:/(\d+))?\s*", item)
+        step = int(m[4] or 1) if m else 0
+        if not step:
+            continue
+        first = low if m[1] else int(m[2])
+        last = high if m[1] or (m[4] and not m[3]) else int(m[3] or m[2])
+        out.update(range(first, last + 1, step))
+    return sorted(x for x in out if low <= x <= high)
 
 
 def cron_matches(expression: str, ts: Column) -> Column:
@@ -115,5 +107,5 @@ def cron_matches(expression: str, ts: Column) -> Column:
     values = [(F.minute(ts), 0, 59), (F.hour(ts), 0, 23), (F.dayofmonth(ts), 1, 31), (F.month(ts), 1, 12), (F.dayofweek(ts) - 1, 0, 6)]
     out = F.lit(True)
     for field, (value, low, high) in zip(fields, values):
-        out = out & _cron_field(field, value, low, high)
+        out = out & value.isin(_cron_values(field, low, high))
     return out

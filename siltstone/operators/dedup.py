@@ -21,17 +21,30 @@ _MASK = (1 << 64) - 1
 FNV_OFFSET, FNV_PRIME = 0xCBF29CE484222325, 0x100000001B3
 
 
+def _key_of(df: DataFrame, key: str, order: str) -> Column:
+    """The key, or for null keys, which are no copies of each other, one of the row's own."""
+    return F.when(F.col(key).isNull(), F.struct(F.lit(None).cast(df.schema[key].dataType).alias("k"), F.col(order).alias("o"))).otherwise(F.struct(F.col(key).alias("k"), F.lit(None).cast(df.schema[order].dataType).alias("o")))
+
+
 def drop_exact(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of each key in ``order``."""
-    first = Window.partitionBy(key).orderBy(order)
-    return df.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    """The first row of each key in ``order``; rows with a null key all stay.
+
+    A partial aggregate keeps one row of a key in each task before anything is shuffled, so hot keys don't meet in one. Columns that
+    are not needed afterwards, texts above all, should be dropped before.
+    """
+    rest = [c for c in df.columns if c != order]
+    first = df.groupBy(_key_of(df, key, order).alias("__key")).agg(F.min(F.struct(F.col(order), F.struct(*rest).alias("__rest"))).alias("__first"))
+    return first.select(F.col(f"__first.{order}").alias(order), "__first.__rest.*").select(*df.columns)
 
 
 def flag_exact(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Only keys and orders are shuffled; the first of a key comes from a partial aggregate, so hot keys don't meet in one task."""
-    first = df.groupBy(F.col(key).alias("__key")).agg(F.min(order).alias("__first"))
-    joined = df.join(first, F.col(key) == F.col("__key"))
-    copy = F.col("__first") != F.col(order)
+    """Only keys and orders are shuffled; the first of a key comes from a partial aggregate, so hot keys don't meet in one task.
+
+    Rows with a null key are no copies.
+    """
+    first = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(order).alias("__first"))
+    joined = df.join(first, F.col(key) == F.col("__key"), "left")
+    copy = F.coalesce(F.col("__first") != F.col(order), F.lit(False))
     return joined.select(*df.columns, copy.alias("is_duplicate"), F.when(copy, "exact").alias("duplicate_type"), F.when(copy, F.col("__first")).alias("duplicate_match"))
 
 
@@ -93,13 +106,13 @@ def near_greedy(docs: DataFrame, bits: int = 3, least_chars: int = 50) -> DataFr
     """(doc_id, simhash_64, is_duplicate, duplicate_type, duplicate_match) of ``docs(doc_id, text)`` in order of ids.
 
     A row with no closer earlier neighbour is kept; a row next to a kept one goes; repeated until all are decided. Every
-    round decides at least the first undecided row of each component, and in practice nearly all.
+    round decides at least the first undecided row of each component, and in practice nearly all. Null texts are no copies.
     """
     spark = docs.sparkSession
     ensure_checkpoints(spark)
-    marked = flag_exact(docs.select("doc_id", F.length("text").alias("n"), F.sha2("text", 256).alias("key"), simhash64(F.col("text")).alias("fp")), "key", "doc_id").persist()
+    marked = flag_exact(docs.select("doc_id", F.length("text").alias("n"), F.sha2("text", 256).alias("key"), simhash64(F.col("text")).alias("fp")), "key", "doc_id").checkpoint()
     first = marked.where(~F.col("is_duplicate") & (F.col("n") >= least_chars))
-    pairs = close_pairs(first.select(F.col("doc_id").alias("id"), "fp"), bits).persist()
+    pairs = close_pairs(first.select(F.col("doc_id").alias("id"), "fp"), bits).checkpoint()
     went = spark.createDataFrame([], "gone long, match long")
     open_ = pairs
     while not open_.isEmpty():

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import text as t
 from siltstone.operators import dedup
-from siltstone.plans.registry import query, table
+from siltstone.plans.registry import query, table, texts
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return texts(spark, sf_dir, "documents", "doc_id")
 
 
 #: DuckDB expressions of the quality metrics over a column ``x`` of trimmed text.
@@ -32,7 +32,8 @@ SELECT lang, count(*)::BIGINT AS docs_kept, sum(char_count)::BIGINT AS chars, su
 def flagship_corpus_by_lang(spark, sf_dir):
     """Hash, measure, gate, drop exact copies, and sum by language."""
     docs = t.with_quality_metrics(_docs(spark, sf_dir)).where(F.size(t.gate_reasons()) == 0)
-    kept = dedup.drop_exact(docs.withColumn("key", F.sha2("text", 256)), "key", "doc_id")
+    docs = docs.select("doc_id", "lang", "char_count", "estimated_tokens", "alpha_ratio", F.sha2("text", 256).alias("key"))
+    kept = dedup.drop_exact(docs, "key", "doc_id")
     return kept.groupBy("lang").agg(F.count("*").alias("docs_kept"), F.sum("char_count").alias("chars"), F.sum("estimated_tokens").alias("est_tokens"), F.round(F.avg("alpha_ratio"), 6).alias("mean_alpha"))
 
 
@@ -41,11 +42,11 @@ _NOISE = "'  ' || text || chr(8203) || chr(160) || 'x' || chr(7) || chr(13) || c
 
 @query(f"""WITH n AS (SELECT doc_id, replace(replace(replace({_NOISE}, chr(160), ' '), chr(8203), ''), chr(65279), '') AS a FROM documents),
 b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(a, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g'), '\\r\\n|\\r', chr(10), 'g'), '[ \\t]+', ' ', 'g'), '(?m)^ | $', '', 'g') AS b FROM n)
-SELECT doc_id, md5(regexp_replace(regexp_replace(b, '\\n{{3,}}', repeat(chr(10), 3), 'g'), '^\\s+|\\s+$', '', 'g')) AS normal, md5(b) <> '' AS ok FROM b""")
+SELECT doc_id, md5(regexp_replace(regexp_replace(b, '\\n{{3,}}', repeat(chr(10), 3), 'g'), '^\\s+|\\s+$', '', 'g')) AS normal FROM b""")
 def n1_normalise(spark, sf_dir):
     """The normaliser on texts with deterministic noise: invisible characters, controls, breaks and blanks."""
     noisy = _docs(spark, sf_dir).select("doc_id", F.expr(_NOISE.replace("chr(8203)", "'\u200b'").replace("chr(65279)", "'\ufeff'").replace("chr(160)", "'\u00a0'")).alias("noisy"))
-    return noisy.select("doc_id", F.md5(t.normalise(F.col("noisy"))).alias("normal"), F.lit(True).alias("ok"))
+    return noisy.select("doc_id", F.md5(t.normalise(F.col("noisy"))).alias("normal"))
 
 
 @query(f"""SELECT doc_id, sha256(text) AS raw_sha256, sha256({_TRIM}) AS normalized_sha256, sha256(text) <> sha256({_TRIM}) AS changed FROM (SELECT doc_id, text || '  ' AS text FROM documents)""")
@@ -81,11 +82,11 @@ def n5_clean_markup(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.md5(t.clean_markup(marked)).alias("clean"))
 
 
-@query("SELECT doc_id, length(text)::BIGINT AS visible, [8203, 8205, 65279]::BIGINT[] AS points FROM documents WHERE doc_id % 2 = 0")
+@query("SELECT doc_id, length(text)::BIGINT AS visible, [8203, 8205, 65279]::BIGINT[] AS points FROM documents")
 def n6_invisible(spark, sf_dir):
     """Invisible characters are put in and stripped; the histogram's code points are listed in order."""
     noisy = F.concat(F.lit("\u200b"), "text", F.lit("\u200d\ufeff"))
-    docs = _docs(spark, sf_dir).where("doc_id % 2 = 0").select("doc_id", F.length(t.strip_invisible(noisy)).cast("long").alias("visible"), t.invisible_histogram(noisy).alias("found"))
+    docs = _docs(spark, sf_dir).select("doc_id", F.length(t.strip_invisible(noisy)).cast("long").alias("visible"), t.invisible_histogram(noisy).alias("found"))
     points = F.transform("found", lambda c: F.ascii(c).cast("long"))
     return docs.select("doc_id", "visible", points.alias("points"))
 
@@ -110,7 +111,10 @@ def q2_gate_flags(spark, sf_dir):
     return docs.select("doc_id", F.array_join(t.gate_reasons(), ",").alias("reasons"), (F.size(t.gate_reasons()) == 0).alias("quality_passed"))
 
 
-@query(f"WITH {_METRICS} SELECT doc_id, word_count, alpha_ratio FROM m WHERE {_PASSED}")
+GATE_SQL = f"WITH {_METRICS} SELECT doc_id, word_count, alpha_ratio FROM m WHERE {_PASSED}"
+
+
+@query(GATE_SQL)
 def q3_gate_drop(spark, sf_dir):
     """Drop mode keeps the metrics of those that pass."""
     docs = t.with_quality_metrics(_docs(spark, sf_dir)).where(F.size(t.gate_reasons()) == 0)
@@ -184,11 +188,11 @@ def d3_simhash(spark, sf_dir):
     return docs.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("simhash_64"))
 
 
-@query("""WITH f AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id < 200)
+@query("""WITH f AS (SELECT doc_id, md5(text) AS h FROM documents)
 SELECT a.doc_id AS left_id, b.doc_id AS right_id, bit_count(xor(('0x' || substr(a.h, 1, 15))::BIGINT, ('0x' || substr(b.h, 1, 15))::BIGINT))::INT AS distance FROM f a JOIN f b ON a.doc_id = b.doc_id - 1""")
 def d4_hamming(spark, sf_dir):
     """Distances between neighbours' hashes."""
-    f = _docs(spark, sf_dir).where("doc_id < 200").select("doc_id", F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long").alias("fp"))
+    f = _docs(spark, sf_dir).select("doc_id", F.conv(F.substring(F.md5("text"), 1, 15), 16, 10).cast("long").alias("fp"))
     g = f.select((F.col("doc_id") - 1).alias("at"), F.col("doc_id").alias("right_id"), F.col("fp").alias("other"))
     return f.join(g, f["doc_id"] == g["at"]).select(F.col("doc_id").alias("left_id"), "right_id", F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))).alias("distance"))
 
@@ -200,14 +204,6 @@ def d7_incremental_dedup(spark, sf_dir):
     return _docs(spark, sf_dir).join(known, F.col("doc_id") == F.col("known"), "left_anti").select("doc_id", "source")
 
 
-@query("SELECT chr(9) || trim(line) AS line, count(DISTINCT page)::BIGINT AS pages FROM (SELECT doc_id AS page, unnest(string_split(text, chr(10))) AS line FROM documents WHERE doc_id < 400) WHERE trim(line) <> '' GROUP BY trim(line) HAVING count(DISTINCT page) >= 2")
-def b1_boilerplate_lines(spark, sf_dir):
-    """Lines that stand on two pages or more."""
-    lines = _docs(spark, sf_dir).where("doc_id < 400").select(F.col("doc_id").alias("page"), F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("page", F.trim("line").alias("line")).where("line <> ''")
-    return lines.groupBy("line").agg(F.count_distinct("page").alias("pages")).where("pages >= 2").select(F.concat(F.lit("\t"), "line").alias("line"), "pages")
-
-
 @query(r"""WITH l AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: length(x) > 10)) AS line FROM documents), c AS (SELECT doc_id, line, count(*) AS n FROM l GROUP BY ALL)
 SELECT doc_id, max(n)::BIGINT AS most, sum(n)::BIGINT AS lines, round(max(n)::DOUBLE / sum(n), 6) AS share FROM c GROUP BY doc_id""")
 def a11_line_frequency(spark, sf_dir):
@@ -217,10 +213,11 @@ def a11_line_frequency(spark, sf_dir):
     return counts.groupBy("doc_id").agg(F.max("n").alias("most"), F.sum("n").alias("lines"), F.round(F.max("n") / F.sum("n"), 6).alias("share"))
 
 
-@query(r"""SELECT doc_id, array_to_string(list_distinct(regexp_extract_all(s, '#([a-zA-Z0-9_]+)', 1)), ',') = 'b,c' OR true AS tags_ok, len(list_distinct(regexp_extract_all(s, '@([a-zA-Z0-9_.]+)', 1)))::INT AS mentions FROM (SELECT doc_id, text || ' #b @x.y #c #b @z @x.y' AS s FROM documents)""")
+@query(r"""SELECT doc_id, 'b,ç_1,' || source AS tags, 'x.y,z' AS mentions FROM documents""")
 def c30_hashtags_mentions(spark, sf_dir):
-    s = F.concat("text", F.lit(" #b @x.y #c #b @z @x.y"))
-    return _docs(spark, sf_dir).select("doc_id", (F.size(t.hashtags(s)) >= 2).alias("tags_ok"), F.size(t.mentions(s)).alias("mentions"))
+    """Distinct tags and mentions in the order of their first places."""
+    s = F.concat(F.lit("#b @x.y, #ç_1! #b @z (@x.y) #"), "source", F.lit(" # @ #b"))
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(t.hashtags(s), ",").alias("tags"), F.array_join(t.mentions(s), ",").alias("mentions"))
 
 
 @query("""SELECT raw, CASE WHEN ends_with(l, 'k') THEN round(left(l, -1)::DOUBLE * 1e3)::BIGINT WHEN ends_with(l, 'm') THEN round(left(l, -1)::DOUBLE * 1e6)::BIGINT WHEN ends_with(l, 'b') THEN round(left(l, -1)::DOUBLE * 1e9)::BIGINT ELSE coalesce(TRY_CAST(l AS BIGINT), 0) END AS number
