@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType
 
 CLUTTER = frozenset(["script", "style", "nav", "footer", "header", "aside", "noscript", "form", "iframe", "svg"])
 _BLOCKS = frozenset("p div section article main li ul ol table tr h1 h2 h3 h4 h5 h6 br blockquote pre".split())
@@ -113,9 +114,24 @@ class _Readable(HTMLParser):
             self.out.append(data)
 
 
+_AUTHOR = re.compile(r"(?is)<meta[^>]*name=[\"']author[\"'][^>]*content=[\"']([^\"']*)|<[^>]*(?:rel=[\"']author|class=[\"'][^\"']*(?:byline|author))[^>]*>([^<]*)<")
+
+
+def byline(html: str) -> str:
+    """The author that a page names, or an empty string."""
+    m = _AUTHOR.search(html or "")
+    return " ".join((m[1] or m[2] or "").split()) if m else ""
+
+
+def markdown_of(html: str) -> str:
+    return readable(html)[1]
+
+
 def readable(html: str) -> tuple[str, str]:
-    """(title, Markdown) of the main part of a page, without clutter."""
+    """(title, Markdown) of the main part of a page, without clutter; of all of it where no part is marked as main."""
     parser = _Readable()
+    if not re.search(r"(?i)<(main|article)[\s>]", html or ""):
+        parser.main = 1
     parser.feed(html or "")
     parser.close()
     lines = [" ".join(x.split()) for x in "".join(parser.out).split("\n")]
@@ -126,9 +142,9 @@ def readable_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [readable(x) for x in b[html]]
-            yield pd.DataFrame({key: b[key], "title": [r[0] for r in rows], "markdown": [r[1] for r in rows]})
+            yield pd.DataFrame({key: b[key], "title": [r[0] for r in rows], "byline": [byline(x) for x in b[html]], "markdown": [r[1] for r in rows]})
 
-    return pages.select(key, html).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, title string, markdown string")
+    return pages.select(key, html).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, title string, byline string, markdown string")
 
 
 def tables_of(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -150,10 +166,13 @@ def linked_data(html: Column) -> Column:
     return F.filter(F.flatten(parts), lambda x: F.expr("true") & F.get_json_object(x, "$").isNotNull())
 
 
+@F.pandas_udf(MapType(StringType(), StringType()))
+def _last_wins(s: pd.Series) -> pd.Series:
+    return s.map(lambda pairs: None if pairs is None else dict((p["k"], p["v"]) for p in pairs if p["k"]))
+
+
 def meta_tags(html: Column) -> Column:
     """Names (or properties) of meta tags with their contents; the last of a name wins."""
     tags = F.regexp_extract_all(html, F.lit(r"(?i)<meta\s[^>]*>"), F.lit(0))
     entries = F.transform(tags, lambda x: F.struct(F.lower(F.regexp_extract(x, r"(?i)(?:name|property)=[\"']([^\"']+)", 1)).alias("k"), F.trim(F.regexp_extract(x, r"(?i)content=[\"']([^\"']*)", 1)).alias("v")))
-    entries = F.reverse(F.filter(entries, lambda e: e["k"] != ""))
-    first = F.filter(entries, lambda e, k: F.array_position(F.transform(entries, lambda z: z["k"]), e["k"]) == k + 1)
-    return F.map_from_entries(first)
+    return _last_wins(entries)

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from siltstone.functions import text as t
+from siltstone.operators.markup import LEAST_BOOK_WORDS, book_text, comment_markdown, decoded, html_to_text, rfc_text, transcript_segment, wiki_text  # noqa: F401
+from siltstone.schemas import conform
 
 
 def inverted_index(index: Column, least: int = 5, collide: str = "last") -> Column:
@@ -22,13 +19,13 @@ def inverted_index(index: Column, least: int = 5, collide: str = "last") -> Colu
     else:
         ranked = F.array_sort(F.transform(numbered, lambda x: F.struct(x["p"].alias("p"), (-x["k"]).alias("k"), x["w"].alias("w"))))
         # Of equal places the first after this order is the latest word.
-        ordered = let(ranked, lambda r: F.transform(F.filter(r, lambda x, i: (i == 0) | (F.get(r, i - 1)["p"] != x["p"])), lambda x: x["w"]))
-    return let(ordered, lambda words: F.when(F.size(words) >= least, F.array_join(words, " ")))
+        ordered = t.let(ranked, lambda r: F.transform(F.filter(r, lambda x, i: (i == 0) | (F.get(r, i - 1)["p"] != x["p"])), lambda x: x["w"]))
+    return t.let(ordered, lambda words: F.when(F.size(words) >= least, F.array_join(words, " ")))
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once for each row."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def rows_of_arrays(df: DataFrame, *names: str) -> DataFrame:
+    """Parallel arrays as rows by place; shorter ones are filled with nulls."""
+    return df.select(F.inline(F.arrays_zip(*names)))
 
 
 def last_segment(c: Column) -> Column:
@@ -69,24 +66,6 @@ def scholarly_works(works: DataFrame, least_words: int = 15) -> DataFrame:
     )
 
 
-def html_to_text(c: Column) -> Column:
-    """Question and answer bodies: code blocks indented, inline code in backticks, list items, headings, breaks, entities."""
-    c = _indented_code(c)
-    c = F.regexp_replace(c, r"(?is)<code>\s*(.*?)\s*</code>", "`$1`")
-    c = F.regexp_replace(c, r"(?is)<li>\s*(.*?)\s*</li>", "\n- $1")
-    c = F.regexp_replace(c, r"(?is)<h[1-6][^>]*>\s*(.*?)\s*</h[1-6]>", "\n## $1\n")
-    c = F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), r"(?i)</?p[^>]*>", "\n")
-    c = t.unescaped(F.regexp_replace(c, r"<[^>]+>", ""))
-    c = F.regexp_replace(F.regexp_replace(c, r"(?m)[ \t]+$", ""), r"(?<=\S) {2,}", " ")
-    return t.strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
-
-
-@F.pandas_udf(StringType())
-def _indented_code(s: pd.Series) -> pd.Series:
-    block = re.compile(r"<pre[^>]*>\s*<code[^>]*>(.*?)</code>\s*</pre>", re.S | re.I)
-    return s.map(lambda x: None if x is None else block.sub(lambda m: "\n\n" + "\n".join("    " + ln for ln in m[1].strip().splitlines()) + "\n\n", x))
-
-
 def question_threads(posts: DataFrame, comments: DataFrame, least_words: int = 20, least_score: int = 1) -> DataFrame:
     """A question with its accepted answer, else its best one, and up to five of both posts' top comments."""
     from siltstone.operators.tables import top_per_group
@@ -107,104 +86,44 @@ def question_threads(posts: DataFrame, comments: DataFrame, least_words: int = 2
     return joined.select("thread_id", F.col("Title").alias("title"), tags.alias("tags"), F.col("Score").alias("score"), "question", "answer", "answer_score", said.alias("comments"))
 
 
+#: Columns of market files in their order, with the value that stands for a missing one (none: the row goes), and
+#: the first cells of header lines.
+MARKET_FILES = {
+    "klines": (
+        (("open_time", "long"), ("open", "double"), ("high", "double"), ("low", "double"), ("close", "double"), ("volume", "double"), ("close_time", "long", "open_time"), ("quote_volume", "double", "0"), ("trades", "long", "0"), ("taker_base", "double", "0"), ("taker_quote", "double", "0")),
+        ("open_time", "open time", "time", "timestamp"),
+    ),
+    "trades": (
+        (("trade_id", "long"), ("price", "double"), ("qty", "double"), ("quote_qty", "double"), ("trade_time", "long"), ("is_buyer_maker", "flag", "false")),
+        ("id", "trade_id", "trade id"),
+    ),
+    "agg_trades": (
+        (("agg_trade_id", "long"), ("price", "double"), ("quantity", "double"), ("first_trade_id", "long"), ("last_trade_id", "long"), ("transact_time", "long"), ("is_buyer_maker", "flag", "false")),
+        ("agg_trade_id", "agg trade id", "trade id", "id"),
+    ),
+}
+
+
+def market_rows(rows: DataFrame, kind: str, symbol: str, market: str = "spot", interval: str = "1d", source_file: str = "") -> DataFrame:
+    """Typed rows of ``rows(line)`` of comma-separated values, in the fixed schema of their kind.
+
+    Headers go, and lines with a cell that is there but can't be read or with too few cells; missing tails take defaults.
+    """
+    columns, headers = MARKET_FILES[kind]
+    cells = rows.select(F.transform(F.split("line", ","), lambda x: F.trim(x)).alias("c")).where(~F.lower(F.get("c", F.lit(0))).isin(*headers))
+    values, good = {}, F.lit(True)
+    for k, (name, of, *default) in enumerate(columns):
+        raw = F.nullif(F.get("c", F.lit(k)), F.lit(""))
+        # Whole numbers may be written as decimals in a tail, never in front.
+        value = F.lower(raw).isin("true", "1", "t") if of == "flag" else raw.try_cast("double").cast("long") if of == "long" and default == ["0"] else raw.try_cast(of)
+        good = good & (value.isNotNull() | (raw.isNull() if default else F.lit(False)))
+        values[name] = F.coalesce(value, F.expr(default[0])) if default and default[0] not in values else F.coalesce(value, values[default[0]]) if default else value
+    named = {"symbol": symbol, "market": market, "interval": interval, "source_file": source_file}
+    return conform(cells.where(good).select(*(v.alias(n) for n, v in values.items()), *(F.lit(v).alias(n) for n, v in named.items())), kind)
+
+
 def klines(rows: DataFrame, symbol: str, market: str = "spot", interval: str = "1d") -> DataFrame:
-    """Typed klines of ``rows(line)`` of comma-separated values: header and bad rows go, missing tails take defaults."""
-    cells = F.transform(F.split("line", ","), lambda x: F.trim(x))
-    rows = t.once(rows.select("line"), c=cells)
-    rows = rows.where((F.size("c") >= 6) & ~F.lower(F.get("c", F.lit(0))).isin("open_time", "open time", "time", "timestamp"))
-
-    def cell(k: int, kind: str) -> Column:
-        return F.nullif(F.get("c", F.lit(k)), F.lit("")).try_cast(kind)
-
-    names = ["open", "high", "low", "close", "volume"]
-    out = rows.select(cell(0, "long").alias("open_time"), *(cell(k + 1, "double").alias(n) for k, n in enumerate(names)), *(F.nullif(F.get("c", F.lit(k)), F.lit("")).alias(f"t{k}") for k in range(6, 11)))
-    good = F.col("open_time").isNotNull()
-    for n in names:
-        good = good & F.col(n).isNotNull()
-    for k in range(6, 11):
-        good = good & (F.col(f"t{k}").isNull() | F.col(f"t{k}").try_cast("double" if k != 6 else "long").isNotNull())
-    tail = [F.coalesce(F.col("t6").try_cast("long"), "open_time").alias("close_time"), F.coalesce(F.col("t7").try_cast("double"), F.lit(0.0)).alias("quote_volume"), F.coalesce(F.col("t8").try_cast("double").cast("long"), F.lit(0)).alias("trades"), F.coalesce(F.col("t9").try_cast("double"), F.lit(0.0)).alias("taker_base"), F.coalesce(F.col("t10").try_cast("double"), F.lit(0.0)).alias("taker_quote")]
-    return out.where(good).select("open_time", *names, *tail, F.lit(symbol).alias("symbol"), F.lit(market).alias("market"), F.lit(interval).alias("interval"))
-
-
-def book_text(c: Column) -> Column:
-    """A public-domain book without its envelope, notes, page marks, dividers and leaked markup."""
-    c = F.regexp_replace(c, r"(?is)\A.*?\*\*\*\s*START OF (?:THE|THIS) [^\n*]*\*\*\*", "")
-    c = F.regexp_replace(c, r"(?is)\*\*\*\s*END OF (?:THE|THIS) .*\z", "")
-    c = F.regexp_replace(c, r"(?is)\[(?:Transcriber|Producer|Editor|Illustrator)['s]*\s+Note[^\]]*\].*?(?=\n\n|\z)", "")
-    c = F.regexp_replace(c, r"(?i)\[(?:Pg|Page)\s+\d+\]", "")
-    c = F.regexp_replace(F.regexp_replace(c, r"(?m)^[ *\-=]{5,}$", ""), r"\f", "\n")
-    c = F.regexp_replace(F.regexp_replace(c, r"<[^>]{1,80}>", ""), r"(?m)[ \t]+$", "")
-    return t.strip(F.regexp_replace(c, r"\n{3,}", "\n\n"))
-
-
-def without_nested(text: str, opening: str = "{{", closing: str = "}}") -> str:
-    """All nested templates go; an unclosed one takes the rest with it."""
-    out, depth, at = [], 0, 0
-    for m in re.finditer(f"{re.escape(opening)}|{re.escape(closing)}", text):
-        if depth == 0:
-            out.append(text[at : m.start()])
-        if m[0] == opening:
-            depth += 1
-        elif depth:
-            depth -= 1
-        else:
-            out.append(m[0])
-        at = m.end()
-    return "".join(out) + (text[at:] if depth == 0 else "")
-
-
-@F.pandas_udf(StringType())
-def strip_templates(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else without_nested(x))
-
-
-@F.pandas_udf(StringType())
-def _protected_code(s: pd.Series) -> pd.Series:
-    """Fences around highlighted source; braces inside are doubled out of the template remover's sight."""
-    block = re.compile(r"<(syntaxhighlight|source)(?:\s+lang=\"?([\w+-]+)\"?)?[^>]*>(.*?)</\1>", re.S | re.I)
-    return s.map(lambda x: None if x is None else block.sub(lambda m: f"\n```{m[2] or ''}\n{m[3].strip()}\n```\n".replace("{", "").replace("}", "").replace("[", "").replace("<", "").replace("'", "").replace("=", ""), x))
-
-
-#: What wiki projects do with headings: bare, or as Markdown up to a level.
-HEADINGS = {"source": None, "dictionary": "## ", "quote": "## ", "books": "## ", "versity": "## ", "voyage": "level", "news": "## ", "species": "## "}
-
-
-def wiki_text(c: Column, project: str = "source") -> Column:
-    """Wikitext as plain text: comments, references, tables, templates, media and categories go; links keep their labels."""
-    if project in ("books", "versity"):
-        c = _protected_code(c)
-    if project == "species":
-        c = F.regexp_replace(c, r"\{\{([^{}|]+)\}\}", "$1")
-    if project == "voyage":
-        c = F.regexp_replace(c, r"(?i)\{\{(?:see|do|eat|buy|drink|sleep|go)\s*\|[^{}]*?name=([^|{}]*)(?:\|[^{}]*?address=([^|{}]*))?(?:\|[^{}]*?content=([^|{}]*))?[^{}]*\}\}", " - **$1** ($2) $3")
-    if project == "news":
-        c = F.regexp_replace(c, r"(?i)\{\{source\s*\|[^{}]*?title=([^|{}]*)[^{}]*\}\}", "Source: $1")
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
-    c = F.regexp_replace(F.regexp_replace(c, r"(?is)<ref[^>/]*>.*?</ref>", ""), r"(?i)<ref[^>]*/>", "")
-    c = F.regexp_replace(F.regexp_replace(c, r"(?i)<pages[^>]*/?>|<pagequality[^>]*/?>", ""), r"(?i)</?poem[^>]*>", "")
-    c = strip_templates(F.regexp_replace(c, r"(?s)\{\|.*?\|\}", ""))
-    for _ in range(3):
-        c = F.regexp_replace(c, r"(?i)\[\[(?:File|Image|Category|Dosya|Resim|Kategori):[^\[\]]*\]\]", "")
-    c = F.regexp_replace(c, r"\[\[[^\[\]|]*\|\s*([^\[\]]*?)\s*\]\]", "$1")
-    c = F.regexp_replace(c, r"\[\[\s*([^\[\]]*?)\s*\]\]", "$1")
-    c = F.regexp_replace(F.regexp_replace(c, r"\[https?://\S+\s+([^\]]+)\]", "$1"), r"\[https?://[^\]]*\]", "")
-    mark = HEADINGS[project]
-    if mark == "level":
-        for n in (4, 3, 2):
-            c = F.regexp_replace(c, rf"(?m)^={{{n}}}\s*([^=\n]+?)\s*={{{n}}}\s*$", "#" * n + " $1")
-    else:
-        c = F.regexp_replace(c, r"(?m)^={2,6}\s*(.+?)\s*={2,6}\s*$", (mark or "") + "$1")
-    if project == "quote":
-        for n in (4, 3, 2, 1):
-            c = F.regexp_replace(c, rf"(?m)^\*{{{n}}}\s*", "  " * (n - 1) + "- ")
-    c = F.regexp_replace(F.regexp_replace(c, r"'{2,5}", ""), r"(?i)<br\s*/?>", "\n")
-    c = F.regexp_replace(c, r"<[^>]+>", "")
-    c = F.regexp_replace(c, r"(?m)[ \t]+$", "") if project == "quote" else F.regexp_replace(c, r"(?m)^[ \t]+|[ \t]+$", "")
-    c = t.strip(F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r"(?<=\S)[ \t]{2,}", " "))
-    if project in ("books", "versity"):
-        c = F.translate(c, "", "{}[<'=")
-    return c
+    return market_rows(rows, "klines", symbol, market, interval)
 
 
 def quote_count(c: Column) -> Column:
@@ -214,24 +133,25 @@ def quote_count(c: Column) -> Column:
 def benchmark_maths(c: Column) -> tuple[Column, Column]:
     """(reasoning, answer) of a solution: after ``####``, else the last boxed expression."""
     marked = F.contains(c, F.lit("####"))
-    boxed = F.regexp_extract(c, r"(?s).*\\boxed\{([^{}]*)\}", 1)
+    boxed = F.regexp_extract(c, r"(?s).*\\boxed\{((?:[^{}]|\{[^{}]*\})*)\}", 1)
     return F.when(marked, F.trim(F.split_part(c, F.lit("####"), F.lit(1)))).otherwise(c), F.when(marked, F.trim(F.regexp_replace(c, r"(?s)\A.*?####", ""))).otherwise(boxed)
 
 
-def comment_markdown(c: Column) -> Column:
-    for pattern, to in ((r"(?is)<pre><code>(.*?)</code></pre>", "\n```\n$1\n```\n"), (r"(?i)<p>", "\n\n"), (r"(?i)</p>", ""), (r"(?i)<i>(.*?)</i>", "*$1*"), (r"(?i)<a\s+href=\"([^\"]+)\"[^>]*>(.*?)</a>", "[$2]($1)"), (r"<[^>]+>", "")):
-        c = F.regexp_replace(c, pattern, to)
-    for entity, char in (("&gt;", ">"), ("&lt;", "<"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return t.strip(c)
-
-
-def rfc_text(c: Column) -> Column:
-    c = F.regexp_replace(c, r"\f", "\n\n")
-    c = F.regexp_replace(c, r"(?m)^[^\n]+\[Page \d+\]\s*\n+(?:RFC \d+[^\n]+\n+)?", "")
-    return t.strip(F.regexp_replace(F.regexp_replace(c, r"\r\n", "\n"), r"\n{3,}", "\n\n"))
+def maths_tasks(rows: DataFrame, kind: str) -> DataFrame:
+    """(task_id, question, reasoning, answer) of ``rows(place, row)``, a row being JSON: solutions with marks, word problems, or any."""
+    at = lambda *names: F.coalesce(*(F.nullif(F.get_json_object("row", f"$.{n}"), F.lit("")) for n in names), F.lit(""))
+    if kind == "svamp":
+        question = t.strip(F.concat_ws(" ", at("Body", "body"), at("Question", "question")))
+        reasoning, answer = at("Equation", "equation"), F.regexp_replace(at("Answer", "answer"), r"\.0+$", "")
+    else:
+        question = t.strip(at("question", "problem", "prompt"))
+        reasoning, answer = benchmark_maths(at("answer", "solution") if kind in ("gsm8k", "math") else at("solution", "answer"))
+        answer = F.coalesce(F.nullif(answer, F.lit("")), at("final_answer"))
+    return rows.select(F.coalesce(F.nullif(at("ID", "id"), F.lit("")), F.concat(F.lit(f"{kind}-"), F.col("place") + 1)).alias("task_id"), question.alias("question"), reasoning.alias("reasoning"), answer.alias("answer"))
 
 
-def transcript_segment(c: Column) -> Column:
-    c = F.regexp_replace(c, r"\[[^\]]*\]|\([^)]*(?:music|applause|laughter)[^)]*\)|[♪♫]", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"^\s*>>\s*", ""), r"\s+", " "))
+def books(raw: DataFrame) -> DataFrame:
+    """Books of ``raw(book_id, title, content, ...)`` in their fixed schema; content is bytes; under 200 words they go."""
+    text = raw.withColumn("text", book_text(decoded(F.col("content")))).drop("content")
+    sized = text.withColumns({"char_count": F.length("text"), "word_count": t.word_count(F.col("text"))})
+    return conform(sized.where(F.col("word_count") >= LEAST_BOOK_WORDS), "book")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from siltstone.operators import publishing
 from siltstone.operators import records as r
-from siltstone.plans.registry import query, table
+from siltstone.plans.registry import query, table, texts
 
 
-@query("""WITH w AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents WHERE doc_id % 3 = 0) SELECT doc_id, CASE WHEN len(w) >= 5 THEN md5(array_to_string(w, ' ')) END AS abstract FROM w""")
+@query("""WITH w AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents) SELECT doc_id, CASE WHEN len(w) >= 5 THEN md5(array_to_string(w, ' ')) END AS abstract FROM w""")
 def c21_inverted_index(spark, sf_dir):
     """Texts are turned into inverted indexes and back."""
-    docs = table(spark, sf_dir, "documents").where("doc_id % 3 = 0")
+    docs = texts(spark, sf_dir, "documents", "doc_id")
     words = docs.select("doc_id", F.posexplode(F.split("text", " ")).alias("p", "w"))
     index = words.groupBy("doc_id", "w").agg(F.collect_list("p").alias("ps")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "ps"))).alias("index"))
     return index.select("doc_id", F.md5(r.inverted_index(F.col("index"))).alias("abstract"))
@@ -28,10 +29,10 @@ _WORKS = "id string, title string, display_name string, is_retracted boolean, is
 
 @query("""SELECT 'W' || doc_id AS id, 'A study ' || doc_id AS title, CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 1990 + doc_id % 30 END::SMALLINT AS year, 'Ann, raw ' || doc_id AS authors, 'T1; T2; ' || source AS topics, doc_id % 5 = 0 AS is_oa,
 md5('# A study ' || doc_id || chr(10) || chr(10) || 'Authors: Ann, raw ' || doc_id || chr(10) || chr(10) || 'Year: ' || CASE WHEN doc_id % 2 = 0 THEN 5000 ELSE 1990 + doc_id % 30 END || CASE WHEN doc_id % 7 > 0 THEN ' | Citations: ' || doc_id % 7 ELSE '' END || chr(10) || chr(10) || 'Topics: T1; T2; ' || source || chr(10) || chr(10) || '## Abstract' || chr(10) || a) AS text
-FROM (SELECT doc_id, source, array_to_string(list_transform(range(0, 12 + (doc_id % 9)::INT), lambda k: 'w' || k), ' ') AS a FROM documents WHERE doc_id < 300 AND doc_id % 11 <> 0 AND doc_id % 9 >= 3)""")
+FROM (SELECT doc_id, source, array_to_string(list_transform(range(0, 12 + (doc_id % 9)::INT), lambda k: 'w' || k), ' ') AS a FROM documents WHERE doc_id % 11 <> 0 AND doc_id % 9 >= 3)""")
 def c1_scholarly_works(spark, sf_dir):
     """Retracted works and those with abstracts of under 15 words go; the rest becomes Markdown."""
-    d = table(spark, sf_dir, "documents").where("doc_id < 300")
+    d = table(spark, sf_dir, "documents")
     k = F.col("doc_id")
     n = (F.lit(12) + k % 9).cast("int")
     index = F.map_from_entries(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.concat(F.lit("w"), i), F.array(i))))
@@ -77,9 +78,9 @@ def c20_klines(spark, sf_dir):
     return r.klines(spark.createDataFrame([(x,) for x in _LINES], "line string"), "BTC").select("open_time", "close", "close_time", "quote_volume", "trades", "symbol")
 
 
-@query("SELECT 'Chapter' || chr(10) || chr(10) || 'A line here' AS body")
+@query("SELECT 'Chapter' || chr(10) || chr(10) || 'A line here' || chr(10) || chr(10) || '*** END OF THE FIRST PART ***' || chr(10) || 'on' AS body")
 def c12_book(spark, sf_dir):
-    raw = "Legal\n*** START OF THE PROJECT BOOK X ***\n\nChapter  \n\n\n\n-------\n[Pg 12]A <i>line</i> here\n\n[Transcriber's Note: x]gone\n\n*** END OF THE PROJECT BOOK X ***\nmore"
+    raw = "Legal\n*** START OF THE PROJECT GUTENBERG EBOOK X ***\n\nChapter  \n\n\n\n-------\n[Pg 12]A <i>line</i> here\n\n[Transcriber's Note: x]gone\n\n*** END OF THE FIRST PART ***\non\n*** END OF PROJECT GUTENBERG EBOOK X ***\nmore"
     return spark.createDataFrame([(raw,)], "raw string").select(r.book_text(F.col("raw")).alias("body"))
 
 
@@ -110,12 +111,12 @@ def c23_benchmark_maths(spark, sf_dir):
     return rows.select("id", reasoning.alias("reasoning"), answer.alias("answer"))
 
 
-@query("SELECT l_orderkey AS accession, l_linenumber AS n, 'https://example.org/' || l_orderkey || '/' || l_linenumber AS url FROM lineitem WHERE l_orderkey < 500")
+@query("SELECT l_orderkey AS accession, l_linenumber AS n, 'https://example.org/' || l_orderkey || '/' || l_linenumber AS url FROM lineitem")
 def c25_column_arrays(spark, sf_dir):
-    """Parallel arrays become rows by place."""
-    arrays = table(spark, sf_dir, "lineitem").where("l_orderkey < 500").groupBy().agg(F.collect_list(F.struct("l_orderkey", "l_linenumber")).alias("x"))
-    arrays = arrays.select(F.transform("x", lambda s: s["l_orderkey"]).alias("accession"), F.transform("x", lambda s: s["l_linenumber"]).alias("n"))
-    return arrays.select(F.inline(F.arrays_zip("accession", "n"))).withColumn("url", F.concat_ws("/", F.lit("https://example.org"), "accession", "n"))
+    """A record of parallel arrays for each order becomes rows by place."""
+    filings = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_linenumber").alias("n"))
+    arrays = filings.select(F.transform("n", lambda _: F.col("l_orderkey")).alias("accession"), "n")
+    return r.rows_of_arrays(arrays, "accession", "n").withColumn("url", F.concat_ws("/", F.lit("https://example.org"), "accession", "n"))
 
 
 @query("""SELECT 'a' || chr(10) || chr(10) || '*b* [t](http://x) & "q" <ok>' AS comment, 'Head' || chr(10) || chr(10) || 'next' AS rfc, 'hello there' AS segment, '### Problem:' || chr(10) || 'q' || chr(10) || chr(10) || '### Solution:' || chr(10) || 'a' AS pair""")
@@ -149,20 +150,15 @@ def c38_thread_roles(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") == 0, "root").when(F.col("role") == "assistant", "review").otherwise("reply").alias("part"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size > 30 THEN 'pdf' WHEN p_size > 10 THEN 'epub' ELSE 'txt' END AS chosen FROM part")
+@query("SELECT p_partkey, CASE WHEN p_size > 30 THEN 'application/pdf' WHEN p_size > 10 THEN 'application/epub+zip' WHEN p_size > 2 THEN 'text/plain; charset=utf-8' END AS chosen, CASE WHEN p_size % 3 = 0 THEN 'best' WHEN p_size % 2 = 0 THEN 'first' WHEN p_size % 5 = 0 THEN 'pdf' END AS label, CASE WHEN p_size % 3 = 0 THEN 'b' WHEN p_size % 2 = 0 THEN 'f' WHEN p_size % 5 = 0 THEN 'x.pdf' END AS url FROM part")
 def c31_c42_c44_preferences(spark, sf_dir):
-    """The first format of a priority list that a row has."""
-    has = F.array_compact(F.array(F.lit("txt"), F.when(F.col("p_size") > 10, "epub"), F.when(F.col("p_size") > 30, "pdf")))
-    chosen = F.coalesce(*(F.when(F.array_contains(has, x), x) for x in ("pdf", "epub", "txt")))
-    return table(spark, sf_dir, "part").select("p_partkey", chosen.alias("chosen"))
-
-
-@query(r"""SELECT key, size::BIGINT AS size FROM (VALUES ('a/1.zip', 10), ('a/2.zip', 20)) v(key, size)""")
-def c41_bucket_listing(spark, sf_dir):
-    xml = "<ListBucketResult><Contents><Key>a/1.zip</Key><Size>10</Size></Contents><Contents><Key>a/2.zip</Key><Size>20</Size></Contents></ListBucketResult>"
-    blocks = F.explode(F.regexp_extract_all("x", F.lit(r"(?s)<Contents>(.*?)</Contents>"), F.lit(1)))
-    rows = spark.createDataFrame([(xml,)], "x string").select(blocks.alias("b"))
-    return rows.select(F.regexp_extract("b", "<Key>([^<]*)", 1).alias("key"), F.regexp_extract("b", r"<Size>(\d+)", 1).cast("long").alias("size"))
+    """The first format of a priority list that a row has, equal or in part; the first place that has a link."""
+    size = F.col("p_size")
+    has = F.array_compact(F.array(F.when(size > 2, "text/plain; charset=utf-8"), F.when(size > 10, "application/epub+zip"), F.when(size > 30, "application/pdf")))
+    chosen = publishing.format_preference(has, ("application/pdf", "application/epub+zip", "text/plain"))
+    other = F.when(size % 5 == 0, "x.pdf").otherwise("x.html")
+    label, url = publishing.source_preference(("best", F.when(size % 3 == 0, "b")), ("first", F.when(size % 2 == 0, "f").otherwise("")), ("pdf", F.when(other.endswith(".pdf"), other)))
+    return table(spark, sf_dir, "part").select("p_partkey", chosen.alias("chosen"), label.alias("label"), url.alias("url"))
 
 
 @query("""SELECT id, verdict FROM (VALUES (1, 'CORRUPT_PAYLOAD'), (2, 'PASSWORD_PROTECTED'), (3, 'ENCODING_ERROR'), (4, 'SCANNED_IMAGE_ONLY'), (5, 'EMPTY_TEXT_LAYER'), (6, 'EXTRACTABLE')) v(id, verdict)""")
