@@ -16,10 +16,11 @@ def _folder(spark, name: str) -> str:
     return f"{ensure_checkpoints(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _one_file(elements, root: str, path: str) -> None:
-    """A small XML fixture: all elements under one root, in one file."""
+def _dumps(elements, root: str, path: str) -> None:
+    """XML dumps of a thousand elements each, under one root."""
     body = F.array_join(F.collect_list("value"), "\n  ")
-    elements.agg(F.concat(F.lit(f"<{root}>\n  "), body, F.lit(f"\n</{root}>")).alias("value")).write.text(path)
+    dumps = elements.groupBy(F.floor(F.col("doc_id") / 1000).alias("dump")).agg(F.concat(F.lit(f"<{root}>\n  "), body, F.lit(f"\n</{root}>")).alias("value"))
+    dumps.select("value").write.text(path)
 
 
 @query("SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment FROM customer")
@@ -64,33 +65,33 @@ def k16_cold_vault_verify(spark, sf_dir):
     return writers.verify(listed, found).groupBy("verdict").agg(F.count("*").alias("n"))
 
 
-@query("""WITH l AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n, CASE doc_id % 3 WHEN 0 THEN 'obj' WHEN 1 THEN 'broken' ELSE 'plain' END AS kind, substr(sha256(text), 1, 12) AS h FROM documents WHERE doc_id < 300)
+@query("""WITH l AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n, CASE doc_id % 3 WHEN 0 THEN 'obj' WHEN 1 THEN 'broken' ELSE 'plain' END AS kind, substr(sha256(text), 1, 12) AS h FROM documents)
 SELECT CASE kind WHEN 'obj' THEN 'd' || doc_id ELSE 'set-' || lpad(n::VARCHAR, 8, '0') END AS id, CASE kind WHEN 'obj' THEN 'T' ELSE '' END AS title, CASE kind WHEN 'obj' THEN h WHEN 'broken' THEN '{' || h || '}' ELSE h END AS text FROM l""")
 def s1_json_lines_or_text(spark, sf_dir):
     path = _folder(spark, "lines")
-    d = table(spark, sf_dir, "documents").where("doc_id < 300")
+    d = table(spark, sf_dir, "documents")
     h, k = F.substring(F.sha2("text", 256), 1, 12), F.col("doc_id") % 3
     line = F.when(k == 0, F.format_string('{"id": "d%d", "title": "T", "content": "%s"}', F.col("doc_id"), h)).when(k == 1, F.concat(F.lit("{"), h, F.lit("}"))).otherwise(h)
-    d.select("doc_id", line.alias("value")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    d.select("doc_id", line.alias("value")).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
     return readers.json_lines_or_text(spark, path, "set")
 
 
-@query("SELECT doc_id AS id, 'P' || doc_id AS title, md5('x' || doc_id) AS text FROM documents WHERE doc_id < 100 AND doc_id % 4 NOT IN (1, 2)")
+@query("SELECT doc_id AS id, 'P' || doc_id AS title, md5('x' || doc_id) AS text FROM documents WHERE doc_id % 4 NOT IN (1, 2)")
 def s2_s3_wiki_pages(spark, sf_dir):
     """Other namespaces and redirects go."""
     path = _folder(spark, "wiki")
     k = F.col("doc_id")
     text = F.when(k % 4 == 2, "#REDIRECT [[x]]").otherwise(F.md5(F.concat(F.lit("x"), k)))
     page = F.format_string("<page><title>P%d</title><ns>%d</ns><id>%d</id><revision><timestamp>t</timestamp><text xml:space=\"preserve\">%s</text></revision></page>", k, F.when(k % 4 == 1, 1).otherwise(0), k, text)
-    _one_file(table(spark, sf_dir, "documents").where("doc_id < 100").select(page.alias("value")), "mediawiki", path)
+    _dumps(table(spark, sf_dir, "documents").select("doc_id", page.alias("value")), "mediawiki", path)
     return readers.wiki_pages(spark, path).select("id", "title", "text")
 
 
-@query("SELECT doc_id AS \"Id\", 'b' || doc_id AS \"Body\" FROM documents WHERE doc_id < 50")
+@query("SELECT doc_id AS \"Id\", 'b' || doc_id AS \"Body\" FROM documents")
 def s4_qa_rows(spark, sf_dir):
     path = _folder(spark, "qa")
     row = F.format_string('<row Id="%d" Body="b%d" />', F.col("doc_id"), F.col("doc_id"))
-    _one_file(table(spark, sf_dir, "documents").where("doc_id < 50").select(row.alias("value")), "posts", path)
+    _dumps(table(spark, sf_dir, "documents").select("doc_id", row.alias("value")), "posts", path)
     return readers.qa_rows(spark, path, "Id long, Body string")
 
 
@@ -98,20 +99,3 @@ def s4_qa_rows(spark, sf_dir):
 def s5_parquet_scan(spark, sf_dir):
     """Two columns and a filter reach the scan."""
     return table(spark, sf_dir, "orders").where("o_orderdate < timestamp '1997-01-01'").select("o_orderkey", "o_custkey")
-
-
-@query("SELECT place::INT AS place, url FROM (VALUES (0, 'a.gz'), (1, 'b.gz')) v(place, url)")
-def s6_manifest_partitions(spark, sf_dir):
-    manifest = '{"entries": [{"url": "a.gz", "meta": {"record_count": 3}}, {"url": "b.gz", "meta": {"record_count": 4}}]}'
-    entries = F.from_json("m", "entries array<struct<url: string, meta: struct<record_count: long>>>")["entries"]
-    return spark.createDataFrame([(manifest,)], "m string").select(F.posexplode(entries).alias("place", "e")).select("place", "e.url")
-
-
-@query("SELECT delimiter, n::INT AS n FROM (VALUES ('comma', 3), ('tab', 3), ('semicolon', 3)) v(delimiter, n)")
-def x6_delimited(spark, sf_dir):
-    names = {",": "comma", "\t": "tab", ";": "semicolon", "|": "bar"}
-    rows = []
-    for d in (",", "\t", ";"):
-        text = "\n".join(d.join(("a", "b, c" if d != "," else "b", "d")) for _ in range(3))
-        rows.append((names[readers.detect_delimiter(text)], len(text.split("\n")[0].split(d))))
-    return spark.createDataFrame(rows, "delimiter string, n int")

@@ -5,12 +5,13 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -21,17 +22,15 @@ MOST_BYTES, MOST_FILES, MOST_RATIO = 100 << 20, 500, 100
 def json_lines_or_text(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """(id, title, text): a line in braces that parses is an object, any other is text; missing ids are numbered over non-blank lines.
 
-    Lines are numbered by file, then offset: Spark's input keeps order within a split, and splits are numbered in order.
+    Lines are numbered by file name, then place: splits are ordered by their file and first byte, and order is kept in a split.
     """
-    lines = spark.read.text(path).select(F.trim("value").alias("line"), F.monotonically_increasing_id().alias("place")).where("line <> ''")
-    part = F.shiftright("place", 33)
-    counts = lines.groupBy(part.alias("p")).agg(F.count("*").alias("n"))
-    from pyspark.sql import Window
-
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    lines = spark.read.text(path).select(F.trim("value").alias("line"), place.alias("p"), F.monotonically_increasing_id().alias("place")).where("line <> ''")
+    counts = lines.groupBy("p").agg(F.count("*").alias("n"))
+    # One row for each split of a file meets here; lines are numbered within their splits.
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = lines.withColumn("p", part).join(F.broadcast(before.select("p", "before")), "p")
-    inner = F.row_number().over(Window.partitionBy("p").orderBy("place"))
-    numbered = numbered.withColumn("ordinal", F.col("before") + inner)
+    numbered = lines.join(before.select(F.col("p").alias("q"), "before"), F.col("p") == F.col("q"))
+    numbered = numbered.withColumn("ordinal", F.col("before") + F.row_number().over(Window.partitionBy("p").orderBy("place")))
     parsed = F.when(F.col("line").startswith("{") & F.col("line").endswith("}"), F.from_json("line", "text string, content string, title string, id string, doc_id string, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}))
     rows = numbered.withColumn("o", parsed)
     bad = F.col("o").isNull() | F.col("o._corrupt_record").isNotNull()
@@ -40,6 +39,19 @@ def json_lines_or_text(spark: SparkSession, path: str, dataset: str) -> DataFram
     return rows.select(F.when(bad, name).otherwise(F.coalesce(none("o.id"), none("o.doc_id"), name)).alias("id"), F.when(~bad, F.coalesce("o.title", F.lit(""))).otherwise("").alias("title"), F.when(bad, F.col("line")).otherwise(F.coalesce(none("o.text"), none("o.content"), F.lit(""))).alias("text"))
 
 
+def wiki_extracts(spark: SparkSession, path: str) -> DataFrame:
+    """(id, url, title, text) of extracted articles in JSON lines; those with an empty title or text go."""
+    rows = spark.read.schema("id string, url string, title string, text string").json(path)
+    return rows.where((F.trim(F.coalesce("title", F.lit(""))) != "") & (F.trim(F.coalesce("text", F.lit(""))) != ""))
+
+
+def manifest_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """(place, url, records, bytes) of the files that a JSON manifest lists; one without entries is an error when read."""
+    entries = spark.read.schema("entries array<struct<url: string, meta: struct<record_count: long, content_length: long>>>").json(path)
+    listed = entries.select(F.when(F.size("entries") > 0, F.col("entries")).otherwise(F.raise_error(F.lit("a manifest without entries"))).alias("e"))
+    return listed.select(F.posexplode("e").alias("place", "e")).select("place", "e.url", F.col("e.meta.record_count").alias("records"), F.col("e.meta.content_length").alias("bytes"))
+
+
 def wiki_pages(spark: SparkSession, path: str, least: int = 0) -> DataFrame:
     """(id, title, text, timestamp) of articles: no other namespaces, no redirects by element or by text."""
     pages = spark.read.format("xml").option("rowTag", "page").schema("id long, title string, ns int, redirect struct<_title: string>, revision struct<timestamp: string, text: struct<_VALUE: string>>").load(path)
@@ -96,10 +108,15 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def detect_delimiter(text: str) -> str:
-    """Of comma, tab, semicolon and bar the one with the highest count that is the same in up to ten lines."""
-    lines = [x for x in text.splitlines()[:10] if x.strip()]
-    best = max(((min(c), d) for d in ",\t;|" if lines and len(set(c := [x.count(d) for x in lines])) == 1), default=(0, ","))
-    return best[1] if best[0] else max(",\t;|", key=lambda d: (text.count(d), -",\t;|".index(d)))
+    """Of comma, tab, semicolon and bar the one that stands in each of the first ten lines equally, and there most often; else the comma.
+
+    What stands between quotes is passed over.
+    """
+    bare = re.sub(r'"[^"]*"', "", text)
+    lines = [x for x in bare.splitlines() if x.strip()][:10]
+    counts = {d: {x.count(d) for x in lines} for d in ",\t;|"}
+    even = {d: min(c) for d, c in counts.items() if len(c) == 1 and min(c)}
+    return max(even, key=lambda d: (even[d], -",\t;|".index(d))) if even else ","
 
 
 class PagedSource(DataSource):
