@@ -42,9 +42,20 @@ def l4_reap(spark, sf_dir):
     return ops.reap(_jobs(spark, sf_dir), 60).select("job_id", "status")
 
 
-@query("SELECT event_id, event_type FROM events WHERE user_id % 2 = 0 ORDER BY ts, event_id LIMIT 50")
+_OUTBOX = "o AS (SELECT event_id, ts, event_type, CASE WHEN user_id % 4 = 0 THEN 'dispatched' WHEN user_id % 4 = 1 THEN 'claimed' ELSE 'pending' END AS status, (user_id % 3)::INT AS attempts, (user_id % 90)::BIGINT AS claimed_until FROM events)"
+
+
+def _outbox(spark, sf_dir):
+    u = F.col("user_id")
+    status = F.when(u % 4 == 0, "dispatched").when(u % 4 == 1, "claimed").otherwise("pending")
+    return table(spark, sf_dir, "events").select("event_id", "ts", "event_type", status.alias("status"), (u % 3).cast("int").alias("attempts"), (u % 90).cast("long").alias("claimed_until"))
+
+
+@query(f"""WITH {_OUTBOX}, c AS (SELECT event_id FROM o WHERE status = 'pending' OR (status = 'claimed' AND claimed_until <= 60) ORDER BY ts, event_id LIMIT 50)
+SELECT event_id, CASE WHEN event_id IN (FROM c) THEN 'claimed' ELSE status END AS status, attempts + CASE WHEN event_id IN (FROM c) THEN 1 ELSE 0 END AS attempts, CASE WHEN event_id IN (FROM c) THEN 90::BIGINT ELSE claimed_until END AS claimed_until FROM o""")
 def l5_outbox_claim(spark, sf_dir):
-    return table(spark, sf_dir, "events").where("user_id % 2 = 0").orderBy("ts", "event_id").limit(50).select("event_id", "event_type")
+    """The oldest fifty that are pending, or whose claim ran out, are claimed; all others stay as they are."""
+    return ops.claim_batch(_outbox(spark, sf_dir), ["ts", "event_id"], "event_id", now=60, lease=30, most=50).select("event_id", "status", "attempts", "claimed_until")
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 2 THEN 'cursor-2' ELSE 'cursor-1' END AS cursor, CASE WHEN s_suppkey % 4 = 2 THEN 3 ELSE (s_suppkey % 4)::INT END AS revision FROM supplier")
@@ -64,10 +75,14 @@ def l8_registry_listing(spark, sf_dir):
     return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus", "o_orderdate").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(25)
 
 
-@query("SELECT event_type, count(*)::BIGINT AS claimed, count_if(value > 10)::BIGINT AS dispatched, count_if(value <= 10)::BIGINT AS failed FROM events GROUP BY event_type")
+@query(f"""WITH {_OUTBOX}, h AS (SELECT *, CASE WHEN event_type = 'purchase' THEN 'ok' WHEN event_type = 'click' THEN 'error' END AS outcome FROM o WHERE status = 'claimed'),
+n AS (SELECT *, CASE WHEN outcome = 'ok' THEN 'dispatched' WHEN attempts >= 2 THEN 'dead' ELSE 'pending' END AS after FROM h)
+SELECT event_type, count(*)::BIGINT AS claimed, count_if(after = 'dispatched')::BIGINT AS dispatched, count_if(after = 'pending')::BIGINT AS retried, count_if(after = 'dead')::BIGINT AS dead FROM n GROUP BY event_type""")
 def l10_dispatch_counts(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    return e.groupBy("event_type").agg(F.count("*").alias("claimed"), F.count_if(F.col("value") > 10).alias("dispatched"), F.count_if(F.col("value") <= 10).alias("failed"))
+    """Claimed messages after their handlers: done, to be tried again, or given up; a type without a handler counts as failed."""
+    handled = F.when(F.col("event_type") == "purchase", "ok").when(F.col("event_type") == "click", "error")
+    after = ops.settle(_outbox(spark, sf_dir).where("status = 'claimed'"), handled, most_attempts=2)
+    return after.groupBy("event_type").agg(F.count("*").alias("claimed"), *(F.count_if(F.col("status") == s).alias(n) for n, s in (("dispatched", "dispatched"), ("retried", "pending"), ("dead", "dead"))))
 
 
 @query("SELECT count(*)::BIGINT AS inserted, min(p_partkey)::BIGINT AS first FROM part WHERE p_partkey % 3 <> 0")
@@ -76,43 +91,17 @@ def l11_manifest_registration(spark, sf_dir):
     return ops.insert_missing(p.where("p_partkey % 3 = 0"), p, ["p_partkey"]).agg(F.count("*").alias("inserted"), F.min("p_partkey").alias("first"))
 
 
-@query("""WITH s AS (SELECT l_orderkey % 40 AS shard, count(*) AS records, sum(l_linenumber) AS bytes FROM lineitem GROUP BY shard), r AS (SELECT *, row_number() OVER (ORDER BY shard) AS k, count(*) OVER () AS n FROM s)
-SELECT CASE WHEN k <= greatest(1, floor(n * 0.8)) THEN 'train' WHEN k <= greatest(1, floor(n * 0.8)) + floor(n * 0.1) THEN 'validation' ELSE 'test' END AS split, count(*)::BIGINT AS shards, sum(records)::BIGINT AS records, sum(bytes)::BIGINT AS bytes, greatest(sum(records) * 100, round(sum(bytes) / 4))::BIGINT AS tokens FROM r GROUP BY split""")
-def g2_publish_snapshot(spark, sf_dir):
-    """Shards are summed first, so that the split's window sees a few rows only."""
-    shards = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 40).alias("shard")).agg(F.count("*").alias("records"), F.sum("l_linenumber").alias("bytes"))
-    split = ops.positional_split(shards, "shard")
-    return split.groupBy("split").agg(F.count("*").alias("shards"), F.sum("records").alias("records"), F.sum("bytes").alias("bytes"), F.greatest(F.sum("records") * 100, F.round(F.sum("bytes") / 4).cast("long")).alias("tokens"))
-
-
-@query("""WITH s AS (SELECT l_orderkey % 40 AS shard, count(*) AS n FROM lineitem GROUP BY shard), e AS (SELECT o_orderkey % 41 AS shard, count(*) AS wanted FROM orders GROUP BY 1)
-SELECT coalesce(s.shard, e.shard)::BIGINT AS shard, CASE WHEN s.shard IS NULL THEN 'missing' WHEN s.n >= e.wanted THEN 'verified' ELSE 'corrupted' END AS verdict FROM e LEFT JOIN s ON s.shard = e.shard""")
-def g1_k16_verify(spark, sf_dir):
-    """Listed against found: verified, corrupted or missing."""
-    found = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 40).alias("s")).agg(F.count("*").alias("n"))
-    listed = table(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 41).alias("shard")).agg(F.count("*").alias("wanted"))
-    verdict = F.when(F.col("s").isNull(), "missing").when(F.col("n") >= F.col("wanted"), "verified").otherwise("corrupted")
-    return listed.join(found, F.col("s") == F.col("shard"), "left").select("shard", verdict.alias("verdict"))
-
-
-@query("""WITH o AS (SELECT 'a/' || p_partkey AS path, md5(p_name) AS sum FROM part WHERE p_partkey < 50), n AS (SELECT 'a/' || p_partkey AS path, md5('new' || p_name) AS sum FROM part WHERE p_partkey BETWEEN 40 AND 60)
+@query("""WITH o AS (SELECT 'a/' || p_partkey AS path, md5(p_name) AS sum FROM part WHERE p_partkey % 3 > 0), n AS (SELECT 'a/' || p_partkey AS path, md5('new' || p_name) AS sum FROM part WHERE p_partkey % 4 = 0)
 SELECT coalesce(n.path, o.path) AS path, coalesce(n.sum, o.sum) AS sum FROM o FULL JOIN n ON o.path = n.path""")
 def k15_checksum_merge(spark, sf_dir):
     """A keyed merge of checksum lines, so exporting again adds no line twice."""
     p = table(spark, sf_dir, "part")
     path = F.concat(F.lit("a/"), F.col("p_partkey")).alias("path")
-    old = p.where("p_partkey < 50").select(path, F.md5("p_name").alias("sum"))
-    new = p.where("p_partkey BETWEEN 40 AND 60").select(path, F.md5(F.concat(F.lit("new"), "p_name")).alias("sum"))
+    old = p.where("p_partkey % 3 > 0").select(path, F.md5("p_name").alias("sum"))
+    new = p.where("p_partkey % 4 = 0").select(path, F.md5(F.concat(F.lit("new"), "p_name")).alias("sum"))
     return ops.merge(old, new, ["path"])
 
 
-@query("SELECT user_id, list_transform(list_sort(list({'t': ts, 'e': event_id})), lambda x: x.e)[-1] AS last_event, CASE WHEN count(*) FILTER (event_type = 'purchase') > 0 THEN 'COMPLETED' ELSE 'PACKING' END AS state FROM events GROUP BY user_id")
-def g3_run_lifecycle(spark, sf_dir):
-    """The state of each run from its log."""
-    e = table(spark, sf_dir, "events")
-    return e.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("last_event"), F.when(F.count_if(F.col("event_type") == "purchase") > 0, "COMPLETED").otherwise("PACKING").alias("state"))
-
-
 @query("SELECT user_id, hour, n, (n - lag(n) OVER (PARTITION BY user_id ORDER BY hour))::BIGINT AS grown FROM (SELECT user_id, date_trunc('day', ts) AS hour, count(*) AS n FROM events GROUP BY ALL)")
 def w6_growth_series(spark, sf_dir):
     per = table(spark, sf_dir, "events").groupBy("user_id", F.date_trunc("day", "ts").alias("hour")).agg(F.count("*").alias("n"))

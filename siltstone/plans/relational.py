@@ -80,16 +80,19 @@ def j9_explicit_split_keys(spark, sf_dir):
     return parts.join(F.broadcast(wanted), F.col("k") == F.col("key")).select("p_partkey", "split")
 
 
-@query("SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE lower(trim(n_name)) = lower(trim(n_name))")
+@query("SELECT s_suppkey, CASE WHEN n_nationkey % 3 > 0 THEN 'slug-' || n_nationkey END AS slug FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def j10_slug_backfill(spark, sf_dir):
+    """Titles in other spellings find the slug of their journal; those without one stay null."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    slugs = n.where("n_nationkey % 3 > 0").select(F.concat(F.lit("  "), F.initcap("n_name"), F.lit(" ")).alias("title"), F.concat(F.lit("slug-"), "n_nationkey").alias("slug"))
+    records = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.regexp_replace(F.upper("n_name"), " ", "   ").alias("title"))
+    return ops.backfill(records, slugs, "title", "slug").select("s_suppkey", "slug")
 
 
-@query("""SELECT o_orderkey, count(l_linenumber)::INT AS slides, coalesce(string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber), '') AS lines, round(coalesce(sum(l_quantity), 0), 2) AS qty FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 5 = 0 GROUP BY o_orderkey""")
+@query("""SELECT o_orderkey, count(l_linenumber)::INT AS slides, coalesce(string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber), '') AS lines, round(coalesce(sum(l_quantity), 0), 2) AS qty FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
 def j12_nested_record(spark, sf_dir):
     slides = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_linenumber")).alias("x"), F.sum("l_quantity").alias("q"))
-    posts = table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0").select("o_orderkey")
+    posts = table(spark, sf_dir, "orders").select("o_orderkey")
     both = posts.join(slides, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     lines = F.array_join(F.transform("x", lambda v: v.cast("string")), ",")
     return both.select("o_orderkey", F.when(F.col("x").isNull(), 0).otherwise(F.size("x")).alias("slides"), F.coalesce(lines, F.lit("")).alias("lines"), F.round(F.coalesce("q", F.lit(0.0)), 2).alias("qty"))

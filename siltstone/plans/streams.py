@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from siltstone.plans.registry import ORACLE, query
+from siltstone.plans.registry import query
+from siltstone.plans.text import GATE_SQL
 from siltstone.session import ensure_checkpoints
 from siltstone.streaming import micro_batch as m
 
@@ -24,11 +25,8 @@ def stream_exact_dedup(spark, sf_dir):
     return _drained(spark, m.first_seen(source), "stream-dedup", "content_sha256 string, chars int")
 
 
-@query(None)
+@query(GATE_SQL)
 def stream_gate(spark, sf_dir):
     """The quality gate on a stream gives the batch gate's rows."""
     source = m.parquet_stream(spark, sf_dir, "documents.parquet").select("doc_id", "text")
     return _drained(spark, m.gated_stream(source).select("doc_id", "word_count", "alpha_ratio"), "stream-gate", "doc_id long, word_count long, alpha_ratio double")
-
-
-ORACLE["stream_gate"] = ORACLE["q3_gate_drop"]

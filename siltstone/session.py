@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 
@@ -22,12 +23,14 @@ def session(app: str = "siltstone", **settings: str) -> SparkSession:
 
 
 def ensure_checkpoints(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only where it is unset (one JVM), a temporary one that goes at exit."""
+    """The shared folder of ``spark.checkpoint.dir``; only where it is unset and all runs in one machine, a temporary one that goes at exit."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None)
     if not named:
         if context.getCheckpointDir():
             return context.getCheckpointDir()
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="siltstone-checkpoints-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not context.getCheckpointDir():

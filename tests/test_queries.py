@@ -8,6 +8,8 @@ import pytest
 
 from siltstone.plans import registry
 
+registry.load()
+
 SF = "/root/testdata/sf0.001"
 
 
