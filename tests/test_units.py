@@ -110,8 +110,99 @@ def test_tables_and_readable():
     assert html.readable("<title> T </title><nav>no</nav><article><h2>H</h2><p>x</p><script>no</script></article>") == ("T", "## H\n\nx")
 
 
-def test_nested_templates():
-    assert records.without_nested("a{{b{{c}}d}}e") == "ae" and records.without_nested("a{{b") == "a" and records.without_nested("a}}b") == "a}}b"
+def test_wikitext():
+    from siltstone.operators.markup import wiki_plain
+
+    assert wiki_plain("a{{b{{c}}d}}e") == "ae" and wiki_plain("a{{b") == "a" and wiki_plain("a}}b") == "a}}b"
+    assert wiki_plain("= Top =\nx [ftp://a.b label] [http://c.d]\n[[File:y.png|thumb|a [[b]] c]]z") == "Top\nx label\nz"
+    assert wiki_plain("{{see|name=The [[x|Tower]]|address=1 Road|content=High.}}", "voyage") == "- **The Tower** (1 Road) High."
+    assert wiki_plain("Said.\n{{source|url=u|title=A title|author=Ann|pub=P|date=May}}", "news") == "Said.\nSource: Ann, A title, P, May"
+    assert wiki_plain("=== Deep ===", "voyage") == "### Deep" and wiki_plain("{{Homo}} sapiens", "species") == "Homo sapiens"
+
+
+def test_books_memos_and_comments():
+    from siltstone.operators import markup
+
+    inside = "One\n*** END OF THE FIRST PART ***\nTwo"
+    assert markup.book_body(f"x\n*** START OF PROJECT GUTENBERG EBOOK Y ***\n{inside}\n*** END OF THIS PROJECT GUTENBERG EBOOK Y ***\nz") == inside
+    assert markup.book_body("no marks at all") == "no marks at all"
+    assert markup.memo_body("a\r\nSmith   Standard   [Page 2]\n\fRFC 9 Title May\n\nb") == "a\n\nb"
+    assert markup.body_text("<p>x <code>y</code></p><pre><code>k &lt; 1\n  m</code></pre><ul><li>one</li></ul>") == "x `y`\n\n\n    k < 1\n      m\n\n\n- one".replace("\n\n\n", "\n\n")
+    assert markup.comment_text('a<p>b <i>c</i> <a href="u" rel="x">d</a> &amp; e') == "a\n\nb *c* [d](u) & e"
+
+
+def test_transcripts(spark):
+    from siltstone.operators.markup import transcript
+
+    df = spark.createDataFrame([(["[Music] >> hello", "[Note the word] stays", "SPEAKER 1: so", "(applause)"],)], "s array<string>")
+    assert df.select(transcript(F.col("s")).alias("t")).first().t == "hello [Note the word] stays so"
+
+
+def test_null_keys_are_no_copies(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, None, "z"), (4, None, None)], "id long, key string, other string")
+    assert sorted(tuple(r) for r in dedup.drop_exact(df, "key", "id").collect()) == [(1, "a", "x"), (3, None, "z"), (4, None, None)]
+    flags = {r.id: (r.is_duplicate, r.duplicate_match) for r in dedup.flag_exact(df, "key", "id").collect()}
+    assert flags == {1: (False, None), 2: (True, 1), 3: (False, None), 4: (False, None)}
+    texts = spark.createDataFrame([(1, "same words in this text " * 5), (2, None), (3, None), (4, "same words in this text " * 5)], "doc_id long, text string")
+    assert {r.doc_id: r.duplicate_type for r in dedup.near_greedy(texts).collect()} == {1: None, 2: None, 3: None, 4: "exact"}
+
+
+def test_one_row_of_a_key_is_written(spark):
+    old = spark.createDataFrame([(1, "a")], "k int, v string")
+    new = spark.createDataFrame([(1, "x"), (1, "z"), (2, "c"), (2, "b"), (None, "n")], "k int, v string")
+    assert sorted(map(str, tables.merge(old, new, ["k"]).collect())) == sorted(["Row(k=1, v='z')", "Row(k=2, v='c')", "Row(k=None, v='n')"])
+    assert sorted(map(str, tables.insert_missing(old, new, ["k"]).collect())) == sorted(["Row(k=2, v='b')", "Row(k=None, v='n')"])
+
+
+def test_places_in_two_levels(spark):
+    df = spark.range(1000).select(F.expr("id * 7 % 1000").alias("o"), (F.col("id") % 5).alias("size")).repartition(5)
+    rows = sorted(tables.with_places(df, ["o"], {"before": F.col("size")}, ranges=6).collect(), key=lambda r: r.place)
+    assert [r.place for r in rows] == list(range(1, 1001)) and [r.o for r in rows] == list(range(1000)) and rows[0].whole == 1000
+    assert [r.before for r in rows] == [sum(x["size"] for x in rows[:k]) for k in range(1000)]
+
+
+def test_fixed_schemas(spark):
+    from siltstone.schemas import SCHEMAS, conform, struct_of
+
+    df = spark.createDataFrame([("1", None, "99999", "x")], "id string, title string, year string, extra string")
+    for kind in SCHEMAS:
+        assert conform(df, kind).schema.simpleString() == struct_of(kind).simpleString()
+    row = conform(df, "oa_article").first()
+    assert (row.id, row.title, row.year, row.char_count) == ("1", "", 32767, 0)
+
+
+def test_harvest_restarts_once():
+    from siltstone.sources.feeds import chained
+
+    pages = {None: (["a", "b"], "t1"), "t2": (["c"], None)}
+    tries = []
+
+    def parse(token):
+        tries.append(token)
+        if token == "t1" and tries.count("t1") == 1:
+            raise LookupError("badResumptionToken")
+        return pages.get(token, (["b", "x"], "t2"))
+
+    assert [x for _, x in chained(lambda t: t, parse)] == ["a", "b", "x", "c"] and [x for _, x in chained(lambda t: t, parse, most=1)] == ["a"]
+
+
+def test_cron_fields():
+    assert web._cron_values("*/15", 0, 59) == [0, 15, 30, 45] and web._cron_values("1-5,9", 0, 59) == [1, 2, 3, 4, 5, 9]
+    assert web._cron_values("10-20/5", 0, 59) == [10, 15, 20] and web._cron_values("x,*/0,70", 0, 59) == [] and web._cron_values("50/4", 0, 59) == [50, 54, 58]
+
+
+def test_readable_without_a_main_part():
+    assert html.readable("<body><nav>no</nav><h1>H</h1><p>x</p></body>")[1] == "# H\n\nx"
+    assert html.byline('<meta name="author" content="Ann B">') == "Ann B" and html.byline('<span class="byline">By C</span>') == "By C"
+
+
+def test_metrics_of_odd_texts(spark):
+    from siltstone.functions import text as t
+
+    rows = [("  a\u00a0b\u2003c \n\n x ",), (None,), ("",), ("one",), ("x...\nx...\ny",)]
+    got = [r for r in t.with_quality_metrics(spark.createDataFrame(rows, "text string")).collect()]
+    assert [r.word_count for r in got] == [4, 0, 0, 1, 3] and got[4].duplicate_line_fraction == 0.3333 and got[4].ellipsis_line_fraction == 0.6667
+    assert all(r.char_count == 0 and r.alpha_ratio == 0 for r in got[1:3])
 
 
 def test_merge_and_split(spark):
