@@ -132,3 +132,22 @@ def readable_documents(pages: DataFrame, doc: str = "doc_id", page: str = "page"
     whole = F.aggregate(F.transform("all", lambda x: x["body"]), F.lit(""), add)
     whole = t.sub(t.sub(t.sub(whole, r"(\p{L})-\n+\s*(\p{L})", "$1$2"), r"[ \t]+", " "), r"\n{3,}", "\n\n")
     return ordered.select(doc, t.strip_invisible(t.strip(whole)).alias("text"))
+
+
+#: Share of broken characters, text from which it is looked at, text a page must have.
+BROKEN_SHARE, BROKEN_FROM, PAGE_CHARS = 0.3, 20, 15
+
+
+def text_layer_class(header: Column, locked: Column, texts: Column, images: Column) -> Column:
+    """What is wrong with a paged text layer, if anything: the first that holds, in fixed order."""
+    whole = F.array_join(texts, "")
+    solid = F.length(t.strip(whole))
+    broken = F.length(whole) - F.length(t.sub(whole, r"[\x{FFFD}\x00-\x08]", ""))
+    return (
+        F.when(~header, "CORRUPT_PAYLOAD")
+        .when(locked, "PASSWORD_PROTECTED")
+        .when((F.length(whole) > BROKEN_FROM) & (broken / F.length(whole) >= BROKEN_SHARE), "ENCODING_ERROR")
+        .when((solid == 0) & (images > 0), "SCANNED_IMAGE_ONLY")
+        .when(solid / F.greatest(F.lit(1), F.size(texts)) < PAGE_CHARS, "EMPTY_TEXT_LAYER")
+        .otherwise("EXTRACTABLE")
+    )

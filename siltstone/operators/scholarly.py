@@ -341,3 +341,10 @@ def repository_records(raw: DataFrame, publisher: str = "", least_title: int = 3
     rows = one.unionByName(two).withColumn("measured", t.strip(F.concat("title", F.lit(" "), "description")))
     rows = rows.where((F.col("id") != "") & (F.length("title") >= least_title) & ~t.is_paratext(F.col("title")) & in_bounds(F.col("measured")))
     return sized(rows, "measured", "repository_record")
+
+
+def with_full_texts(articles: DataFrame, texts: DataFrame) -> DataFrame:
+    """Articles joined with ``texts(id, fulltext)``, in the schema of full texts; articles without one are left out."""
+    own = texts.select(F.col("id").alias("__id"), "fulltext").where(F.coalesce("fulltext", F.lit("")) != "")
+    joined = articles.join(own, F.col("id") == F.col("__id"))
+    return conform(joined.withColumn("fulltext_chars", F.length("fulltext")), "fulltext_article")

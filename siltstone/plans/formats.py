@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from siltstone.operators import scholarly
 from siltstone.plans.registry import query, table
+from siltstone.schemas import conform
 from siltstone.session import ensure_checkpoints
-from siltstone.sources import readers, writers
+from siltstone.sources import files, readers, writers
 
 
 def _folder(spark, name: str) -> str:
@@ -99,3 +101,52 @@ def s4_qa_rows(spark, sf_dir):
 def s5_parquet_scan(spark, sf_dir):
     """Two columns and a filter reach the scan."""
     return table(spark, sf_dir, "orders").where("o_orderdate < timestamp '1997-01-01'").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS nation FROM supplier")
+def k3_json_array(spark, sf_dir):
+    path = _folder(spark, "array")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_suppkey") % 2 == 0, F.col("s_nationkey")).alias("nation"))
+    writers.write_json_array(rows, path, "s_suppkey")
+    return writers.read_json_array(spark, path, "s_suppkey long, s_name string, nation long")
+
+
+@query("SELECT DISTINCT sha256(c_mktsegment || c_nationkey) AS sha256, length(c_mktsegment || c_nationkey)::BIGINT AS bytes, true AS intact FROM customer")
+def k13_object_store(spark, sf_dir):
+    """Contents under their hashes, equal ones once, twice put."""
+    root = _folder(spark, "objects")
+    content = table(spark, sf_dir, "customer").select(F.concat("c_mktsegment", "c_nationkey").cast("binary").alias("content"))
+    for _ in range(2):
+        writers.put_objects(content, root).write.format("noop").mode("overwrite").save()
+    return writers.list_objects(spark, root).select("sha256", "bytes", "intact")
+
+
+@query("SELECT event_id, event_type FROM events")
+def k14_append_log(spark, sf_dir):
+    path = _folder(spark, "log")
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
+    for part in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        writers.append_log(e.where(part), path)
+    return spark.read.schema("event_id long, event_type string").json(path)
+
+
+@query("SELECT 'd' || doc_id AS id, 'Paper ' || doc_id AS title, doc_id::INT % 50 + 1 AS fulltext_chars FROM documents WHERE doc_id % 3 > 0")
+def k10_full_texts(spark, sf_dir):
+    """Articles with their texts in the fixed schema of full texts, packed and read back."""
+    k = F.col("doc_id")
+    articles = conform(table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), k).alias("id"), F.concat(F.lit("Paper "), k).alias("title")), "portal_article")
+    texts = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), k).alias("id"), F.when(k % 3 == 0, "").otherwise(F.repeat(F.lit("x"), (k % 50 + 1).cast("int"))).alias("fulltext"))
+    folder = _folder(spark, "fulltexts")
+    files.roll_parquet(scholarly.with_full_texts(articles, texts), folder, ["id"], most_rows=1000)
+    return spark.read.parquet(folder).select("id", "title", "fulltext_chars")
+
+
+@query("SELECT event_id, event_type AS reason, event_id * 7 % 10007 AS vetoed_at FROM events WHERE event_id % 5 <> 0 ORDER BY vetoed_at DESC, event_id LIMIT 40")
+def l9_quarantine(spark, sf_dir):
+    """Audits as JSON, one in a line; what can't be read is skipped, the newest come first."""
+    path = _folder(spark, "quarantine")
+    e = F.col("event_id")
+    line = F.when(e % 5 == 0, "{broken").otherwise(F.to_json(F.struct(e.alias("event_id"), F.col("event_type").alias("reason"), (e * 7 % 10007).alias("vetoed_at"))))
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    rows = spark.read.schema("event_id long, reason string, vetoed_at long").option("mode", "DROPMALFORMED").json(path)
+    return rows.orderBy(F.desc("vetoed_at"), "event_id").limit(40)

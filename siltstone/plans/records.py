@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.operators import publishing
+from siltstone.functions import text as t
+from siltstone.operators import layout, publishing
 from siltstone.operators import records as r
 from siltstone.plans.registry import query, table, texts
 
@@ -161,13 +162,43 @@ def c31_c42_c44_preferences(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", chosen.alias("chosen"), label.alias("label"), url.alias("url"))
 
 
-@query("""SELECT id, verdict FROM (VALUES (1, 'CORRUPT_PAYLOAD'), (2, 'PASSWORD_PROTECTED'), (3, 'ENCODING_ERROR'), (4, 'SCANNED_IMAGE_ONLY'), (5, 'EMPTY_TEXT_LAYER'), (6, 'EXTRACTABLE')) v(id, verdict)""")
+@query("""SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'CORRUPT_PAYLOAD' WHEN 1 THEN 'PASSWORD_PROTECTED' WHEN 2 THEN 'ENCODING_ERROR' WHEN 3 THEN 'SCANNED_IMAGE_ONLY' WHEN 4 THEN 'EMPTY_TEXT_LAYER' ELSE 'EXTRACTABLE' END AS verdict FROM documents""")
 def x8_pdf_anomalies(spark, sf_dir):
-    """The class of a paged text layer by its characters."""
-    bad = "�" * 10 + "readable text here ok"[:12]
-    rows = spark.createDataFrame([(1, False, False, 1, ["x"], 0), (2, True, True, 1, ["x"], 0), (3, True, False, 1, [bad + "ab"], 0), (4, True, False, 2, ["", ""], 2), (5, True, False, 2, ["abc", ""], 0), (6, True, False, 1, ["A page of ordinary text"], 0)], "id int, header boolean, locked boolean, pages int, texts array<string>, images int")
-    text = F.array_join("texts", "")
-    glyphs = F.length(text) - F.length(F.regexp_replace(text, "[�\\x00-\\x08]", ""))
-    verdict = F.when(~F.col("header"), "CORRUPT_PAYLOAD").when(F.col("locked"), "PASSWORD_PROTECTED").when((F.length(text) > 20) & (glyphs / F.length(text) >= 0.3), "ENCODING_ERROR")
-    verdict = verdict.when((F.length(F.trim(text)) == 0) & (F.col("images") > 0), "SCANNED_IMAGE_ONLY").when(F.length(F.trim(text)) / F.col("pages") < 15, "EMPTY_TEXT_LAYER").otherwise("EXTRACTABLE")
-    return rows.select("id", verdict.alias("verdict"))
+    """The class of a paged text layer by its characters, for layers of all six kinds."""
+    k = F.col("doc_id") % 6
+    ten = F.repeat(F.lit("\ufffd"), 10)
+    layers = F.when(k == 2, F.array(F.concat(ten, F.lit("readable here")))).when(k == 3, F.array(F.lit(" "), F.lit(""))).when(k == 4, F.array(F.lit("a short page"), F.lit("next"))).otherwise(F.array(F.concat(F.lit("a page of ordinary text in "), "lang")))
+    return table(spark, sf_dir, "documents").select("doc_id", layout.text_layer_class(k != 0, k == 1, layers, F.when(k == 3, 2).otherwise(0)).alias("verdict"))
+
+
+@query("SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN source ELSE '' END, ''), CASE WHEN doc_id % 2 = 0 THEN lang END, 'none') AS first FROM documents")
+def p3_first_text(spark, sf_dir):
+    """The first candidate field that is neither null nor empty."""
+    k = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.when(k % 3 == 0, F.col("source")).otherwise("").alias("content"), F.when(k % 2 == 0, F.col("lang")).alias("markdown"), F.lit("none").alias("body"))
+    return rows.select("doc_id", t.first_text("content", "markdown", "body").alias("first"))
+
+
+@query("""SELECT doc_id::VARCHAR AS task_id, 'Ann has ' || doc_id || ' pens. How many?' AS question, '( 3.0 - 1.0 )' AS reasoning, (doc_id % 50)::VARCHAR AS answer FROM documents""")
+def c23_word_problems(spark, sf_dir):
+    k = F.col("doc_id")
+    row = F.format_string('{"ID": "%d", "Body": "Ann has %d pens.", "Question": "How many?", "Equation": "( 3.0 - 1.0 )", "Answer": "%d.0"}', k, k, k % 50)
+    return r.maths_tasks(table(spark, sf_dir, "documents").select(k.alias("place"), row.alias("row")), "svamp")
+
+
+@query("""SELECT doc_id, '## ' || source || chr(10) || 'Text ' || doc_id || '.' || chr(10) || 'Source: Ann, A title, P, May ' || doc_id % 28 AS body FROM documents""")
+def c18_news(spark, sf_dir):
+    """Sources of news become citations; other templates go."""
+    raw = F.concat(F.lit("{{date|x}}== "), "source", F.lit(" ==\nText ''"), "doc_id", F.lit("''.\n{{source|url=u|title=[[w|A title]]|author=Ann|pub=P|date=May "), F.col("doc_id") % 28, F.lit("}}[[Category:y]]"))
+    return table(spark, sf_dir, "documents").select("doc_id", r.wiki_text(raw, "news").alias("body"))
+
+
+@query("""SELECT doc_id::INT AS book_id, 210 AS word_count, md5(array_to_string(list_transform(range(0, 210), lambda i: 'é' || i), ' ')) AS text FROM documents WHERE doc_id % 2 = 0""")
+def c12_books(spark, sf_dir):
+    """Bytes in one of two encodings; books of under 200 words go."""
+    k = F.col("doc_id")
+    n = F.when(k % 2 == 0, 210).otherwise(150)
+    words = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("é"), i)), " ")
+    text = F.concat(F.lit("*** START OF THIS PROJECT GUTENBERG EBOOK A ***\n"), words, F.lit("\n*** END OF THIS PROJECT GUTENBERG EBOOK A ***"))
+    raw = table(spark, sf_dir, "documents").select(k.alias("book_id"), F.lit("A").alias("title"), F.when(k % 4 == 0, F.encode(text, "UTF-8")).otherwise(F.encode(text, "ISO-8859-1")).alias("content"))
+    return r.books(raw).select("book_id", "word_count", F.md5("text").alias("text"))

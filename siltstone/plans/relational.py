@@ -53,11 +53,14 @@ def j4_top_comments(spark, sf_dir):
     return joined.select("o_orderkey", F.coalesce(F.array_join(F.transform("x", lambda s: s["l_partkey"].cast("string")), " | "), F.lit("")).alias("comments"))
 
 
-@query("SELECT o_orderkey // 30 AS batch, count(DISTINCT o_orderkey)::BIGINT AS questions, count(l_orderkey)::BIGINT AS answers FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY batch")
+@query("SELECT o_orderkey // 30 AS batch, count(DISTINCT o_orderkey)::BIGINT AS questions, coalesce(string_agg(l_orderkey || ':' || l_linenumber, ' ' ORDER BY l_orderkey, l_linenumber), '') AS answers FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY batch")
 def j5_batched_answers(spark, sf_dir):
-    q, a = table(spark, sf_dir, "orders").select("o_orderkey"), table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    both = q.join(a, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return both.groupBy(F.floor(F.col("o_orderkey") / 30).alias("batch")).agg(F.count("*").alias("questions"), F.coalesce(F.sum("n"), F.lit(0)).alias("answers"))
+    """Answers of thirty questions at a time, as one list; a batch bounds its length."""
+    a = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("lines"))
+    both = table(spark, sf_dir, "orders").select("o_orderkey").join(a, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    per = both.groupBy(F.floor(F.col("o_orderkey") / 30).alias("batch")).agg(F.count("*").alias("questions"), F.array_sort(F.collect_list(F.struct("l_orderkey", "lines"))).alias("all"))
+    flat = F.flatten(F.transform(F.filter("all", lambda x: x["lines"].isNotNull()), lambda x: F.transform(x["lines"], lambda n: F.concat(x["l_orderkey"], F.lit(":"), n))))
+    return per.select("batch", "questions", F.array_join(flat, " ").alias("answers"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
@@ -98,9 +101,9 @@ def j12_nested_record(spark, sf_dir):
     return both.select("o_orderkey", F.when(F.col("x").isNull(), 0).otherwise(F.size("x")).alias("slides"), F.coalesce(lines, F.lit("")).alias("lines"), F.round(F.coalesce("q", F.lit(0.0)), 2).alias("qty"))
 
 
-@query("""SELECT count(*)::BIGINT AS n, coalesce(round(sum(o_totalprice), 2), 0) AS total, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::BIGINT AS done, count(DISTINCT o_custkey)::BIGINT AS customers, count(DISTINCT o_orderpriority)::BIGINT AS priorities FROM orders""")
+@query("""SELECT count(*)::BIGINT AS n, coalesce(round(sum(o_totalprice), 2), 0) AS total, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::BIGINT AS done, round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END), 2) AS done_total, count(DISTINCT o_custkey)::BIGINT AS customers, count(DISTINCT o_orderpriority)::BIGINT AS priorities FROM orders""")
 def a1_a4_totals(spark, sf_dir):
-    return table(spark, sf_dir, "orders").agg(F.count("*").alias("n"), F.coalesce(F.round(F.sum("o_totalprice"), 2), F.lit(0.0)).alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("done"), F.count_distinct("o_custkey").alias("customers"), F.count_distinct("o_orderpriority").alias("priorities"))
+    return table(spark, sf_dir, "orders").agg(F.count("*").alias("n"), F.coalesce(F.round(F.sum("o_totalprice"), 2), F.lit(0.0)).alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("done"), F.round(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0)), 2).alias("done_total"), F.count_distinct("o_custkey").alias("customers"), F.count_distinct("o_orderpriority").alias("priorities"))
 
 
 @query("SELECT o_orderstatus, count(*)::BIGINT AS n FROM orders GROUP BY o_orderstatus")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from siltstone.functions import web
+from siltstone.functions import text, web
 from siltstone.operators import crawl, html
 from siltstone.plans.registry import query, table
 
@@ -112,17 +112,52 @@ def s20_bfs_crawl(spark, sf_dir):
     return crawl.breadth_first(seeds, links, depth=2)
 
 
-@query("""SELECT page_id, rank::INT AS rank FROM (SELECT page_id, row_number() OVER (PARTITION BY regexp_extract(url, '^[A-Za-z]+://([^/?:#]+)', 1) ORDER BY page_id) AS rank, url FROM pages WHERE url NOT LIKE '%ref=%') WHERE rank <= 5""")
-def s18_serp_rank(spark, sf_dir):
-    """Rank of accepted rows; rejected ones take no number."""
-    w = Window.partitionBy(web.host_of(F.col("url"))).orderBy("page_id")
-    return table(spark, sf_dir, "pages").where(~F.contains("url", F.lit("ref="))).select("page_id", F.row_number().over(w).alias("rank")).where("rank <= 5")
-
-
-@query("""SELECT attempt, wait::BIGINT AS wait, kind FROM (VALUES (1, 1, 'retry'), (2, 2, 'retry'), (3, 4, 'retry'), (7, 60, 'retry'), (8, 0, 'fatal')) v(attempt, wait, kind)""")
-def c43_retry_backoff(spark, sf_dir):
-    """Waits double up to a cap; client errors are final."""
-    rows = spark.createDataFrame([(1, 503), (2, 429), (3, 500), (7, 503), (8, 404)], "attempt int, status int")
-    retry = F.col("status").isin(408, 425, 429) | (F.col("status") >= 500)
-    wait = F.when(retry, F.least(F.lit(60), F.pow(F.lit(2), F.col("attempt") - 1))).otherwise(0)
-    return rows.select("attempt", wait.cast("long").alias("wait"), F.when(retry, "retry").otherwise("fatal").alias("kind"))
+@query(r"""SELECT s_suppkey, r.rank::INT AS rank, CASE r.rank WHEN 1 THEN 'http://a.b/' || s_suppkey || '?x=1 2' ELSE 'http://c.d' END AS url, CASE r.rank WHEN 1 THEN 'First & ' || s_name ELSE 'Second' END AS title FROM supplier, (VALUES (1), (2)) r(rank)""")
+def s18_search_results(spark, sf_dir):
+    """Advertisements take no rank; redirects are unwrapped."""
+    page = F.concat(
+        F.lit('<div class="result result--ad"><a href="http://ad">Ad</a></div><div class="result web"><a class="t" href="/l/?uddg=http%3A%2F%2Fa.b%2F'),
+        F.col("s_suppkey"),
+        F.lit('%3Fx%3D1%202&rut=9">First &amp; <b>'),
+        "s_name",
+        F.lit('</b></a><p>text</p></div><div class="result"><a href="http://c.d">Second</a></div>'),
+    )
+    found = crawl.search_results(table(spark, sf_dir, "supplier").select("s_suppkey", page.alias("html")), "s_suppkey", "html")
+    return found.select("s_suppkey", "rank", "url", text.unescaped(F.col("title")).alias("title"))
+
+
+def _url(n):
+    return F.concat(F.lit("http://h"), n % 2, F.lit(".org/"), F.when(n % 7 == 0, "private/").otherwise("p/"), n)
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey % 997 AS a, l_partkey % 997 AS b FROM lineitem WHERE (l_partkey % 997) % 2 = 1 AND (l_partkey % 997) % 7 <> 0 AND (l_partkey % 997)::VARCHAR NOT LIKE '9%'),
+s(n, d) AS (SELECT 1::BIGINT, 0 UNION SELECT e.b, s.d + 1 FROM s JOIN e ON e.a = s.n WHERE s.d < 3), m AS (SELECT n, min(d) AS d FROM s GROUP BY n)
+SELECT 'http://h1.org/p/' || n AS url, d::INT AS depth FROM m ORDER BY depth, url LIMIT 60""")
+def s20_crawl_with_limits(spark, sf_dir):
+    """Same domain, an excluded path, robots rules, a depth and a number of pages."""
+    a, b = F.col("l_orderkey") % 997, F.col("l_partkey") % 997
+    links = table(spark, sf_dir, "lineitem").select(_url(a).alias("source"), _url(b).alias("target"))
+    seeds = spark.createDataFrame([("http://h1.org/p/1",)], "url string")
+    return crawl.crawl(seeds, links, depth=3, most_pages=60, exclude=["http://*/private/*"], robots={"h1.org": "User-agent: *\nDisallow: /p/9"})
+
+
+@query("""WITH l AS (SELECT user_id AS host, event_id AS k, event_type = 'purchase' AS ok, CASE WHEN event_id % 11 = 0 THEN 7 END AS retry_after FROM events),
+r AS (SELECT *, sum(ok::INT) OVER (PARTITION BY host ORDER BY k) AS run FROM l), n AS (SELECT *, sum((NOT ok)::INT) OVER (PARTITION BY host, run ORDER BY k) AS failures FROM r)
+SELECT host, k AS request, CASE WHEN ok THEN 1.0 WHEN retry_after IS NOT NULL THEN 7.0 ELSE least(60.0, 2.0 ** (failures - 1)) END::DOUBLE AS wait FROM n""")
+def c43_host_waits(spark, sf_dir):
+    """Waits of hosts from a log of requests."""
+    log = table(spark, sf_dir, "events").select(F.col("user_id").alias("host"), F.col("event_id").alias("at"), (F.col("event_type") == "purchase").alias("ok"), F.when(F.col("event_id") % 11 == 0, 7).alias("retry_after"))
+    return crawl.host_waits(log).select("host", F.col("at").alias("request"), "wait")
+
+
+@query("SELECT o_custkey, count(*)::BIGINT AS articles, sum(o_orderkey)::BIGINT AS keys, max((k - 1) // 5)::BIGINT AS last_batch FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders) GROUP BY o_custkey")
+def s13_search_then_fetch(spark, sf_dir):
+    """Ids of a search are asked for five at a time; the answers are XML."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    empty = spark.createDataFrame([], "request string, content string")
+    asked = crawl.fetch_in_batches(orders, "o_custkey", "o_orderkey", 5, empty).select("asked")
+    xml = F.concat(F.lit("<set>"), F.array_join(F.transform(F.split("asked", ","), lambda x: F.concat(F.lit("<article><id>"), x, F.lit("</id></article>"))), ""), F.lit("</set>"))
+    answers = asked.select(F.col("asked").alias("request"), xml.alias("content"))
+    found = crawl.fetch_in_batches(orders, "o_custkey", "o_orderkey", 5, answers)
+    ids = found.select("o_custkey", "batch", F.explode(F.regexp_extract_all("content", F.lit(r"<id>(\d+)</id>"), F.lit(1))).alias("id"))
+    return ids.groupBy("o_custkey").agg(F.count("*").alias("articles"), F.sum(F.col("id").cast("long")).alias("keys"), F.max("batch").alias("last_batch"))

@@ -22,6 +22,7 @@ SCHEMAS = {
     "medical_article": f"pmid string, pmcid string, doi string, title string, journal string, pub_year short, authors string, mesh_terms string, keywords string, abstract string, text string, is_pmc_oa boolean, {_SIZES}",
     "oa_article": _ARTICLE,
     "portal_article": _ARTICLE,
+    "fulltext_article": f"{_ARTICLE}, fulltext string, fulltext_chars int",
     "repository_record": f"id string, doi string, title string, creators string, description string, publisher string, publication_date string, resource_type string, language string, keywords string, subjects string, rights string, file_count int, total_file_size long, files_json string, {_SIZES}",
     "klines": "open_time long, open double, high double, low double, close double, volume double, close_time long, quote_volume double, trades long, taker_base double, taker_quote double, symbol string, market string, interval string, source_file string",
     "trades": "trade_id long, price double, qty double, quote_qty double, trade_time long, is_buyer_maker boolean, symbol string, market string, source_file string",

@@ -20,15 +20,19 @@ def first_seen(stream: DataFrame, key: str = "content_sha256") -> DataFrame:
     return stream.dropDuplicates([key])
 
 
-def drain(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Process all that is there in micro-batches; an offset is committed after its batch is in the sink."""
-    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drain(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> int:
+    """Process all that is there in micro-batches; an offset is committed after its batch is in the sink. Returns the rows read.
+
+    Draining again with the same checkpoint goes on where the last one ended.
+    """
+    query = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)
 
 
 def windowed_counts(events: DataFrame, size: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Extension: events by type and tumbling window, with a watermark."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
 def parquet_stream(spark: SparkSession, folder: str, pattern: str, files: int = 1) -> DataFrame:
