@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.config import Dedup, Normalise, Output, Pipeline, Quality
+from siltstone.extensions import SINKS
 from siltstone.functions import text as t
 from siltstone.operators import dedup
 from siltstone.sources import writers
@@ -54,13 +55,8 @@ def plan(spark: SparkSession, p: Pipeline) -> DataFrame:
 
 
 def write(df: DataFrame, c: Output) -> None:
-    if c.format == "jsonl":
-        writers.write_json_lines(df, c.path)
-    elif c.format == "csv":
-        writers.write_csv(df, c.path)
-    else:
-        out = df.write.mode("overwrite").option("compression", c.compression)
-        (out.option("maxRecordsPerFile", c.max_rows_per_file) if c.max_rows_per_file else out).parquet(c.path)
+    settings = {k: v for k, v in asdict(c).items() if k not in ("format", "path")}
+    SINKS.named(c.format)(df, c.path, **settings)
 
 
 def run(spark: SparkSession, p: Pipeline) -> dict:

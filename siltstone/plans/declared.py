@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone import config
+from siltstone import config, extensions
 from siltstone.operators import runner
-from siltstone.plans.registry import query
+from siltstone.plans.registry import query, table
 from siltstone.plans.text import _METRICS, _PASSED
 
 _YAML = """
@@ -24,3 +24,11 @@ def declared_pipeline(spark, sf_dir):
     """Normalise, gate and exact dedup as a YAML document says."""
     p = config.load(_YAML.format(path=f"{sf_dir}/documents.parquet"))
     return runner.plan(spark, p).select(F.col("id"), "normalized_sha256")
+
+
+@query("SELECT doc_id, 'a & b' AS plain, 'fi' AS folded FROM documents")
+def sql_functions(spark, sf_dir):
+    """Functions that are offered to SQL."""
+    extensions.register_functions(spark)
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.lit("a &amp; b").alias("x"), F.lit("\ufb01").alias("y"))
+    return rows.selectExpr("doc_id", "siltstone_unescape(x) AS plain", "siltstone_nfkc(y) AS folded")

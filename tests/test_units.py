@@ -264,3 +264,21 @@ def test_near_dedup_decides_long_chains(spark, monkeypatch):
     monkeypatch.setattr(dedup, "close_pairs", lambda fps, bits: chain)
     got = dedup.near_greedy(spark.createDataFrame(rows, "doc_id long, text string"), least_chars=1).collect()
     assert sorted(r.doc_id for r in got if r.is_duplicate) == list(range(1, 210, 2))
+
+
+def test_extensions(spark, tmp_path):
+    import pytest
+
+    from siltstone import extensions as x
+    from siltstone.sources import files
+
+    reg = x.Registry()
+    reg.add("a", len)
+    with pytest.raises(ValueError):
+        reg.add("a", len)
+    x.HANDLERS.add("double", lambda t: t["n"] * 2)
+    x.HANDLERS.add("fail", lambda t: 1 / 0)
+    assert [(r["outcome"], r["result"]) for r in x.handle([{"operation": "double", "n": 2}, {"operation": "fail"}, {"operation": "none"}])] == [("ok", 4), ("error", "division by zero"), ("no handler", None)]
+    seen = []
+    manifest = files.roll_parquet(spark.range(25), f"file://{tmp_path}/out", ["id"], most_rows=10, row_group=4)
+    assert x.after_shards(manifest, seen.append) == len(seen) >= 3 and sum(r["records"] for r in seen) == 25
