@@ -108,7 +108,7 @@ def k3_json_array(spark, sf_dir):
     path = _folder(spark, "array")
     rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.when(F.col("s_suppkey") % 2 == 0, F.col("s_nationkey")).alias("nation"))
     writers.write_json_array(rows, path, "s_suppkey")
-    return writers.read_json_array(spark, path, "s_suppkey long, s_name string, nation long")
+    return writers.read_json_array(spark, path, "s_suppkey long, s_name string, nation int")
 
 
 @query("SELECT DISTINCT sha256(c_mktsegment || c_nationkey) AS sha256, length(c_mktsegment || c_nationkey)::BIGINT AS bytes, true AS intact FROM customer")
