@@ -21,12 +21,24 @@ from pyspark.sql.types import StructField, StructType
 CHUNK_BYTES = 4 << 20
 
 
+#: Rows of an Arrow batch, at most, on its way to Python: texts may be long, and a batch is held whole on both sides.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of rows in a batch to ``BATCH_ROWS``; a lower one stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
     Only where none is named and all runs in one machine (a local master, as in tests) a temporary folder is made and
     removed at exit; on a cluster that is an error, as executors would not see the driver's folder.
     """
+    bounded_batches(spark)
     conf = spark.sparkContext.getConf()
     named = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
@@ -68,6 +80,7 @@ def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
 
     ``run`` gets and gives batches with the names of ``df`` and ``schema``.
     """
+    bounded_batches(df.sparkSession)
     names, after = df.columns, schema.names
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,6 +38,8 @@ WINDOW = 4096
 #: Ids in a shard, about: what is indexed and packed at once.
 SHARD_IDS = 750_000
 K1, B = 1.2, 0.75
+#: Pieces of text whose ids a worker remembers; fewer than elsewhere, as the same workers index and pack.
+MEMO_PIECES = 150_000
 #: Documents that the router is fitted on, about; the terms that it looks at; how often it splits.
 SAMPLE, FEATURES, SPLITS = 1024, 1024, 6
 
@@ -133,7 +135,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, kind: st
     shared = docs.sparkSession.sparkContext.broadcast(router)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer_path)
+        encoder = encoder_of(tokenizer_path, MEMO_PIECES)
         for batch in text_chunks(batches, limit=1 << 20):
             flat, sizes = encoder.encode(batch.column("text"))
             out = np.empty(len(flat) + len(sizes), kind)

@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from siltstone.llm.common import free_memory, map_in_arrow, text_chunks
+from siltstone.llm.common import bounded_batches, free_memory, map_in_arrow, text_chunks
 from siltstone.llm.pii_labels import SENTENCES
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -481,10 +481,11 @@ def redact(text: str, spans: list[Span]) -> str:
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row of ``docs(doc_id, text)``."""
     field = default_field()
+    bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, limit=2 << 20):
+        for batch in text_chunks(batches, limit=1 << 20):
             rows = []
             for base, every in all_spans(pc.fill_null(batch.column("text"), "").to_pylist(), field):
                 rows.append((*(sum(s[0] == k for s in base) for k in BASE_KINDS), hashlib.sha256(joined(base).encode()).hexdigest(), joined(every)))
@@ -503,7 +504,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, limit=2 << 20):
+        for batch in text_chunks(batches, limit=1 << 20):
             texts = batch.column("text").to_pylist()
             spans = all_spans([t or "" for t in texts], field)
             new = [t if t is None else redact(t, every) for t, (_, every) in zip(texts, spans)]

@@ -5,8 +5,8 @@ the ranges' totals; a row belongs to the shard in which the middle of its bytes
 targets. Sizes so differ from the target by at most the largest row.
 
 Nulls and edges: a null text has size 1, as an empty one; null ids come first; rows with equal ids stay separate, in the
-order of their input, so a single id may fill several ranges; a row larger than a target leaves a shard without rows; an
-empty table gives no rows.
+order of their input, so a single id may fill several ranges; a row larger than a target, as a very long text, leaves a
+shard without rows; an empty table gives no rows; other columns than doc_id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ are gathered in one place; every step is written to the shared folder.
 
 Nulls and edges: a null or empty text, or one of blanks, has fingerprint zero and links like any other; a null document id
 takes part with its fingerprint, and its component is the smallest id that is not null (null if there is none); repeated
-ids stay separate rows; an empty table gives no rows.
+ids stay separate rows; very long texts are read whole; an empty table gives no rows; other columns than doc_id and text are
+not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import staged, text_chunks
+from siltstone.llm.common import free_memory, staged, text_chunks
 
 SHINGLE = 3
 SEED = 42
@@ -65,6 +66,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
             texts = pc.fill_null(batch.column(text), "").cast(pa.large_binary()).to_pylist()
             fps = np.array([fingerprint_words(t.lower().split()) for t in texts], np.uint64).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(fps)], [*(f.name for f in kept), "fp"])
+        free_memory()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "fp long"])
     return docs.mapInArrow(mark, schema)

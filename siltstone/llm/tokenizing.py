@@ -29,10 +29,10 @@ _LETTERS = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]+$"
 _SPELT = [(chr(b), chr(256 + [*range(33), *range(127, 161), 173].index(b))) for b in (0x9F, 0xA0, 0xAD)]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
-    """One encoder for all tasks of a worker process, so that they share its memo."""
-    return PieceEncoder(path)
+@lru_cache(maxsize=1)
+def encoder(path: str, memo_pieces: int = MEMO_PIECES) -> PieceEncoder:
+    """One encoder for all tasks of a worker process, so that they share its memo; another one takes its place."""
+    return PieceEncoder(path, memo_pieces)
 
 
 @lru_cache(maxsize=8)

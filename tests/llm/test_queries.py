@@ -37,3 +37,29 @@ def test_pipeline(spark):
         docs, kept = after, ids
     packed = c.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == kept
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_keep_columns_with_names_of_their_own(spark, docs, number):
+    import corpus_pipeline as c
+
+    for name in ("dropped", "leaking", "row_number", "_row_number", "gone_row", "Score", "a.b", "doc", "found", "component_id", "same", "n", "hashes"):
+        if name.lower() not in {x.lower() for x in docs.columns}:
+            from pyspark.sql import functions as F
+
+            docs = docs.withColumn(name, F.lit(name))
+    docs = c.staged(docs, "odd-columns")
+    after = c.STAGES[number][1](spark, docs, SF)
+    assert after.columns == docs.columns and after.schema["text"].dataType == docs.schema["text"].dataType
+    kept = after.collect()
+    assert 0 < len(kept) <= docs.count() and all(r["a.b"] == "a.b" and r["dropped"] == "dropped" for r in kept)
+    assert c.STAGES[number][1](spark, docs.where("false"), SF).count() == 0
+    # Null ids are rows of their own: one that goes takes no other with it.
+    assert any(r.doc_id is None and (r.text or "").startswith("an id that is null") for r in kept)
+
+
+def test_near_dedup_keeps_the_order_of_null_ids(spark):
+    import corpus_pipeline as c
+
+    df = c.staged(spark.createDataFrame([(None, "a b c d e f", "x"), (None, "a b c d e f", "y"), (None, "q r s t u v", "z"), (5, "q r s t u v", "w")], "doc_id long, text string, row string").coalesce(1), "nulls")
+    assert sorted(r["row"] for r in c.drop_near_copies(spark, df, SF).collect()) == ["w", "x"]
