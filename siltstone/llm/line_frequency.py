@@ -1,11 +1,12 @@
 """Quality by cross-document line frequency, after a few base rules on each text.
 
 Lines are normalised (A-Z lower-cased, runs of ASCII blanks as one space), hashed, and counted for each host: in how many
-documents with different texts a line occurs, so that copies of one text count once. Lines above the limit are removed,
-and a document that loses more than its share of words is rejected.
+documents a line occurs, copies among them (``texts=True`` counts different texts instead). Lines above the limit are
+removed, and a document that loses more than its share of words is rejected.
 
 Nulls and edges: a null or empty text has no words and fails the base rules; a null host is a host of its own; null and
-repeated ids stay separate rows; lines of blanks are no lines; an empty table gives no rows.
+repeated ids stay separate rows, each a document; lines of blanks are no lines; very long texts are read whole, one at a
+time; an empty table gives no rows; other columns than the id, text and host are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import staged, text_chunks
+from siltstone.llm.common import free_memory, staged, text_chunks
 
-#: Different texts of a host that may share a line.
+#: Documents of a host that may share a line.
 LIMIT = 20
 #: Percent of a document's words that may be removed.
 MOST_REMOVED = 50
@@ -75,18 +76,20 @@ def measure(docs: DataFrame, host: str) -> DataFrame:
             signed = [np.array(x, np.uint64).astype(np.int64).tolist() for x in columns[5]]
             lists = [pa.array(signed, pa.list_(pa.int64())), pa.array(columns[6], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), *longs, *lists, pa.array(np.array(columns[7], np.uint64).astype(np.int64))], ["doc_id", "host", *names])
+        free_memory()
 
     docs = docs.select("doc_id", "text", F.col(host).cast("string").alias("host"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, host string, {fixed}")
 
 
-def line_quality(docs: DataFrame, host: str = "source", limit: int = LIMIT, most_removed: int = MOST_REMOVED) -> DataFrame:
+def line_quality(docs: DataFrame, host: str = "source", limit: int = LIMIT, most_removed: int = MOST_REMOVED, texts: bool = False) -> DataFrame:
     """Base columns, base_failed, removed_words and kept of every row of ``docs(doc_id, text, <host>)``."""
     rows = staged(measure(docs, host).withColumn("row", F.monotonically_increasing_id()), "line-hashes")
-    # A line that is alone in its text's bucket can't be above the limit, yet must be counted to know.
+    # A row names each of its lines once.
     lines = rows.select("host", "text_hash", F.explode("lines").alias("line"))
-    common = lines.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("texts")).where(F.col("texts") > limit)
+    found = F.count_distinct("text_hash") if texts else F.count("*")
+    common = lines.groupBy("host", "line").agg(found.alias("found")).where(F.col("found") > limit)
     common = staged(common.select(F.col("host").alias("common_host"), F.col("line").alias("common_line")), "common-lines")
     each = rows.select("row", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select("row", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
     gone = each.join(common, each["host"].eqNullSafe(common["common_host"]) & (each["line"] == common["common_line"])).groupBy("row").agg(F.sum("words").alias("removed"))

@@ -102,8 +102,8 @@ t AS (SELECT doc_id, ws, list_transform(range(1, len(ws) - 1), lambda i: ws[i] |
 u AS (SELECT doc_id, unnest(g) AS g, unnest(range(1, len(g) + 1)) AS i FROM t),
 c AS (SELECT doc_id, g FROM u GROUP BY doc_id, g HAVING count(*) > 1),
 p AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT u.doc_id, u.i, unnest([0, 1, 2]) AS k FROM u JOIN c USING (doc_id, g)) GROUP BY doc_id),
-l AS (SELECT doc_id, source, md5(text) AS h, unnest(list_transform(ls, lambda x: array_to_string(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' '))) AS line FROM w),
-f AS (SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT h) > 20),
+l AS (SELECT doc_id, source, unnest(list_transform(ls, lambda x: array_to_string(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' '))) AS line FROM w),
+f AS (SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT doc_id) > 20),
 r AS (SELECT doc_id, sum(len(string_split(line, ' '))) AS n FROM l JOIN f USING (source, line) GROUP BY doc_id),
 b AS (SELECT w.doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
              len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(p.n, 0) AS n_repeat_words, coalesce(r.n, 0) AS removed_words
