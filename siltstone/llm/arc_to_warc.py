@@ -2,7 +2,7 @@
 
 An ARC file begins with a version block that names its records' header fields; version 1 has five, version 2 ten. Each
 record is one header line with a declared length, and so many bytes. The converter parses these and synthesises what a
-WARC record needs: an identifier (a name-based UUID of URL, date and page), an ISO timestamp, the type, and SHA-256
+WARC record needs: an identifier (a name-based UUID of URL, date, page and place in the archive), an ISO timestamp, the type, and SHA-256
 digests of block and payload. Of records with equal payloads of at least ``least`` bytes the one with the smallest page id
 becomes the response, the others revisits that keep their HTTP head; smaller ones are all responses.
 
@@ -11,7 +11,8 @@ manifests name only those of tasks that ended well.
 
 Nulls and edges: a null payload is empty; a null or blank URL becomes ``about:blank``, and blanks or control characters in
 one are percent-encoded; a null page id is written as ``-`` and comes last in the order; repeated ids stay separate
-records, of which one is the response; an empty table gives no rows.
+records, of which one is the response; very long pages are records as others, and end their file; an empty table gives no
+rows; other columns than page_id, url and html are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import os
 import re
 import uuid
 import zlib
@@ -95,8 +97,9 @@ def http_parts(block: bytes) -> tuple[bytes, bytes, str]:
     return head + b"\r\n\r\n", payload, page[1].decode() if page else "-"
 
 
-def record_id(url: str, date: str, page: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {date} {url}')}>"
+def record_id(url: str, date: str, page: str, place: str) -> str:
+    """``place`` is the record's file and ordinal, which tell records of equal pages apart."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {date} {place} {url}')}>"
 
 
 def warc_record(headers: dict[str, str], block: bytes) -> bytes:
@@ -104,20 +107,20 @@ def warc_record(headers: dict[str, str], block: bytes) -> bytes:
     return head.encode() + block + b"\r\n\r\n"
 
 
-def convert(record: ArcRecord, refers_to: str | None) -> bytes:
-    """The WARC record of an ARC record; a revisit of ``refers_to`` if that is given."""
+def convert(record: ArcRecord, refers_to: str | None, place: str = "", digest: bytes | None = None) -> bytes:
+    """The WARC record of an ARC record; a revisit of ``refers_to`` if that is given. ``digest`` is the payload's, if known."""
     url, date = record.fields["URL"], record.fields["Archive-date"]
     head, payload, page = http_parts(record.block)
     block = head if refers_to else record.block
     headers = {
         "WARC-Type": "revisit" if refers_to else "response",
-        "WARC-Record-ID": record_id(url, date, page),
+        "WARC-Record-ID": record_id(url, date, page, place),
         "WARC-Date": f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z",
         "WARC-Target-URI": url,
         "WARC-IP-Address": record.fields["IP-address"],
         "Content-Type": "application/http; msgtype=response",
         "WARC-Block-Digest": f"sha256:{hashlib.sha256(block).hexdigest()}",
-        "WARC-Payload-Digest": f"sha256:{hashlib.sha256(payload).hexdigest()}",
+        "WARC-Payload-Digest": f"sha256:{(digest or hashlib.sha256(payload).digest()).hex()}",
     }
     if refers_to:
         headers |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": refers_to}
@@ -180,7 +183,7 @@ def scan_arc_files(files: DataFrame) -> DataFrame:
                 rows = []
                 for k, r in enumerate(parse_arc(gzip.GzipFile(fileobj=io.BytesIO(read_blob(path))))):
                     _, payload, page = http_parts(r.block)
-                    rows.append((path, k, None if page == "-" else int(page), record_id(r.fields["URL"], r.fields["Archive-date"], page), len(payload), hashlib.sha256(payload).digest()))
+                    rows.append((path, k, None if page == "-" else int(page), record_id(r.fields["URL"], r.fields["Archive-date"], page, f"{os.path.basename(path)}/{k}"), len(payload), hashlib.sha256(payload).digest()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()])], ["path", "ordinal", "page_id", "record_id", "bytes", "digest"])
 
@@ -191,12 +194,13 @@ def write_warc_files(records: DataFrame, folder: str, least: int = LEAST) -> Dat
     """Convert every scanned ARC file into a WARC file; returns their paths."""
 
     def run(table: pa.Table) -> pa.Table:
-        refers = dict(zip(table.column("ordinal").to_pylist(), table.column("refers").to_pylist()))
+        refers = dict(zip(table.column("ordinal").to_pylist(), zip(table.column("refers").to_pylist(), table.column("digest").to_pylist())))
         source = table.column("path")[0].as_py()
+        place = os.path.basename(source)
         name = f"{uuid.uuid4().hex}.warc.gz"
-        info = {"WARC-Type": "warcinfo", "WARC-Record-ID": record_id(source, "", ""), "WARC-Date": "2024-01-01T00:00:00Z", "Content-Type": "application/warc-fields"}
+        info = {"WARC-Type": "warcinfo", "WARC-Record-ID": record_id(source, "", "", place), "WARC-Date": "2024-01-01T00:00:00Z", "Content-Type": "application/warc-fields"}
         parts = [member(warc_record(info, b"software: siltstone\r\nformat: WARC File Format 1.1\r\n"))]
-        parts += [member(convert(r, refers[k])) for k, r in enumerate(parse_arc(gzip.GzipFile(fileobj=io.BytesIO(read_blob(source)))))]
+        parts += [member(convert(r, refers[k][0], f"{place}/{k}", refers[k][1])) for k, r in enumerate(parse_arc(gzip.GzipFile(fileobj=io.BytesIO(read_blob(source)))))]
         write_blob(f"{folder}/{name}", parts)
         return pa.table({"path": [f"{folder}/{name}"]})
 
@@ -205,7 +209,9 @@ def write_warc_files(records: DataFrame, folder: str, least: int = LEAST) -> Dat
     first = first.select(F.col("digest").alias("same"), F.col("first.path").alias("p"), F.col("first.ordinal").alias("o"), F.col("first.record_id").alias("r"))
     marked = records.join(first, records["digest"] == first["same"], "left")
     refers = F.when((F.col("path") != F.col("p")) | (F.col("ordinal") != F.col("o")), F.col("r"))
-    return staged(marked.select("path", "ordinal", refers.alias("refers")).groupBy("path").applyInArrow(run, "path string"), "warc-files")
+    # Of few bytes that each stand for much work: dealt out by path, or they would be joined in one task.
+    dealt = spread(marked.select("path", "ordinal", refers.alias("refers"), "digest"), "path")
+    return staged(dealt.groupBy("path").applyInArrow(run, "path string"), "warc-files")
 
 
 def read_warc_files(files: DataFrame) -> DataFrame:
