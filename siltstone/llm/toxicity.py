@@ -3,14 +3,17 @@
 Words become classes: insult and threat words, targets, negations, verbs of reported speech. Five small transducers read
 these classes (one each for insult, threat, target, negation and reported speech) and are composed into one automaton
 whose states are the tuples of theirs; at a clause's end its state names the pattern that matched, such as a directed,
-negated or reported insult. A document's score is logistic in the weights of its matched clauses.
+negated or reported insult. A document's score is logistic in the weights of its matched clauses; no word counts but through its clause.
 
 The insult lexicon holds a few general words and stems learned from labels: beginnings of words that occur far more often
-in toxic texts, weighted by their log odds. Stems and pattern weights are fitted on at most ``SAMPLE`` labelled rows, those with the smallest hashes
-of their ids; rows whose crc32(doc_id) is divisible by five are never used. Scoring reads the text alone.
+in toxic texts, weighted by their log odds. Stems and pattern weights are fitted on at most ``SAMPLE`` labelled ids, those with
+the smallest hashes, and one text of each; rows whose crc32(doc_id) is divisible by five are never used. Scoring reads the
+text alone.
 
 Nulls and edges: null and empty texts score as texts without matches; unlabelled or empty label tables leave the lexicon
-and weights at their priors; labels of one id count once, as toxic if any says so; null ids in labels are ignored.
+and weights at their priors; labels of one id count once, as toxic if any says so; null ids in labels are ignored; of the
+documents of one id that with the smallest hash of its text is learned from, and each is scored; very long texts are read
+whole; an empty table gives no rows; columns of a scored table keep their names, and the two new ones may be named.
 """
 
 from __future__ import annotations
@@ -23,8 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from siltstone.llm.common import staged, text_chunks
+from siltstone.llm.common import free_memory, map_in_arrow, staged, text_chunks
 
 #: Labelled rows that lexicon and weights are fitted on, at most.
 SAMPLE = 8000
@@ -44,7 +48,7 @@ WORDS = {
     "R": "said says say told tells claimed wrote quoted reported asked sagte sagt schrieb dit disait écrit dijo dice escribió",
 }
 #: Clause pattern -> prior weight of a clause with it.
-PATTERNS = ("strongest", "insult", "directed insult", "negated insult", "reported insult", "threat", "directed threat", "negated threat", "reported threat")
+PATTERNS = ("strongest directed insult", "insult", "directed insult", "negated insult", "reported insult", "threat", "directed threat", "negated threat", "reported threat")
 PRIOR = np.array([2.0, 2.0, 1.0, -1.0, -1.0, 0.5, 2.0, -1.0, -1.0])
 PRIOR_BIAS = -3.0
 NEGATION_REACH = 3
@@ -96,6 +100,8 @@ def compose(parts: list[Transducer]) -> Transducer:
 GRAMMAR = compose([seen("I", "insult"), seen("H", "threat"), seen("T", "directed"), negation(), reported()])
 #: Pattern counts that a clause adds, by the state it ends in.
 STATE_PATTERNS = np.array([[1.0 if kind in (e := emit.split()) and (how == "" or how in e) else 0.0 for kind in ("insult", "threat") for how in ("", "directed", "negated", "reported")] for emit in GRAMMAR.emits])
+#: States of a directed insult or threat that is neither negated nor reported.
+STATE_PLAIN = ["directed" in (e := emit.split()) and "negated" not in e and "reported" not in e and ("insult" in e or "threat" in e) for emit in GRAMMAR.emits]
 
 
 class Model(NamedTuple):
@@ -111,7 +117,7 @@ def _bare(word: str) -> str:
 class Reader:
     """Pattern counts of texts. Keeps the class of every word it has met, up to a bound."""
 
-    def __init__(self, stems: dict[str, float], memo: int = 300_000) -> None:
+    def __init__(self, stems: dict[str, float], memo: int = 120_000) -> None:
         self.known = {w: CLASSES.index(c) for c, ws in WORDS.items() for w in ws.split()}
         self.stems, self.memo_size = stems, memo
         self.memo: dict[str, tuple[int, float]] = {}
@@ -128,14 +134,14 @@ class Reader:
         return c + 8 * (word[-1:] in ".!?;:" and word != ""), weight
 
     def features(self, column: pa.Array) -> np.ndarray:
-        """(texts, patterns): the strongest match and the summed weights of the matched clauses of each text."""
+        """(texts, patterns): the strongest directed insult or threat, neither negated nor reported, and the summed weights of matched clauses."""
         column = pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
         column = pc.replace_substring(pc.replace_substring(pc.replace_substring(column, "\n", " . "), "\t", " "), "\r", " ")
         lists = pc.split_pattern(column, " ")
         words = lists.flatten().dictionary_encode()
         if len(self.memo) > self.memo_size:
             self.memo = {}
-        own = words.dictionary.to_pylist()
+        own = words.dictionary.to_numpy(zero_copy_only=False)
         classes, weights = np.empty(len(own), np.uint8), np.empty(len(own), np.float32)
         for i, w in enumerate(own):
             if (c := self.memo.get(w)) is None:
@@ -162,7 +168,8 @@ class Reader:
             inside = (codes[a:b] & 7 == 1) | (codes[a:b] & 7 == 2)
             weight = float(weights[a:b][inside].max())
             out[doc, 1:] += STATE_PATTERNS[state] * weight
-            out[doc, 0] = max(out[doc, 0], weight)
+            if STATE_PLAIN[state]:
+                out[doc, 0] = max(out[doc, 0], weight)
         return out
 
 
@@ -186,13 +193,15 @@ def fit_weights(features: np.ndarray, labels: np.ndarray, rounds: int = 25, ridg
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(toxic, text) of the bounded training sample, written to the shared folder."""
+    """(toxic, text) of the training sample, ``sample`` rows at most, written to the shared folder."""
     name = F.col("doc_id").cast("string")
     open_ = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (F.crc32(name) % 5 != 0))
     chosen = open_.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample)
     chosen = staged(chosen, "toxicity-ids")
-    # At most ``sample`` rows of an id and a label.
-    return staged(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("toxic", "text"), "toxicity-sample")
+    # At most ``sample`` rows of an id and a label; and one text of each id, chosen before any meet.
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+    first = texts.groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    return staged(first.select("toxic", "first.text"), "toxicity-sample")
 
 
 def learn_stems(rows: DataFrame) -> dict[str, float]:
@@ -224,19 +233,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(stems, *fit_weights(features, np.array([float(r.toxic == 1) for r in got])))
 
 
-def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score``, 0 to 1, and ``clauses``, the matched clauses' weights by pattern."""
-    fields = docs.schema.fields
+def toxicity_scores(docs: DataFrame, model: Model, score_name: str = "score", clauses_name: str = "clauses") -> DataFrame:
+    """``docs`` with a score, 0 to 1, and the matched clauses' weights by pattern, under names that ``docs`` has not."""
+    schema = StructType([*docs.schema.fields, StructField(score_name, DoubleType()), StructField(clauses_name, ArrayType(DoubleType()))])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.stems)
-        for batch in text_chunks(batches):
+        for batch in text_chunks(batches, limit=1 << 20):
             counts = reader.features(batch.column("text"))
             p = 1 / (1 + np.exp(-(squash(counts) @ model.weights + model.bias)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array(counts.tolist(), pa.list_(pa.float64()))], [*batch.schema.names, "score", "clauses"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array(counts.tolist(), pa.list_(pa.float64()))], [*batch.schema.names, score_name, clauses_name])
+        free_memory()
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "score double, clauses array<double>"])
-    return docs.mapInArrow(score, schema)
+    return map_in_arrow(docs, score, schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
