@@ -21,14 +21,14 @@ def _drained(spark, stream, name: str, schema: str):
 
 @query("SELECT sha256(text) AS content_sha256, length(text)::INT AS chars FROM (SELECT DISTINCT text FROM documents)")
 def stream_exact_dedup(spark, sf_dir):
-    source = m.parquet_stream(spark, sf_dir, "documents.parquet").select(F.sha2("text", 256).alias("content_sha256"), F.length("text").alias("chars"))
+    source = m.parquet_stream(spark, f"{sf_dir}/documents.parquet").select(F.sha2("text", 256).alias("content_sha256"), F.length("text").alias("chars"))
     return _drained(spark, m.first_seen(source), "stream-dedup", "content_sha256 string, chars int")
 
 
 @query(GATE_SQL)
 def stream_gate(spark, sf_dir):
     """The quality gate on a stream gives the batch gate's rows."""
-    source = m.parquet_stream(spark, sf_dir, "documents.parquet").select("doc_id", "text")
+    source = m.parquet_stream(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return _drained(spark, m.gated_stream(source).select("doc_id", "word_count", "alpha_ratio"), "stream-gate", "doc_id long, word_count long, alpha_ratio double")
 
 
@@ -38,7 +38,7 @@ def stream_windows(spark, sf_dir):
     folder = f"{ensure_checkpoints(spark).rstrip('/')}/stream-windows-{uuid.uuid4().hex}"
 
     def run() -> int:
-        source = m.parquet_stream(spark, sf_dir, "events.parquet")
+        source = m.parquet_stream(spark, f"{sf_dir}/events.parquet")
         return m.drain(m.windowed_counts(source), lambda df, _: df.write.mode("overwrite").parquet(f"{folder}/out"), f"{folder}/checkpoint", "complete")
 
     run()

@@ -282,3 +282,19 @@ def test_extensions(spark, tmp_path):
     seen = []
     manifest = files.roll_parquet(spark.range(25), f"file://{tmp_path}/out", ["id"], most_rows=10, row_group=4)
     assert x.after_shards(manifest, seen.append) == len(seen) >= 3 and sum(r["records"] for r in seen) == 25
+
+
+def test_streams_read_files_and_folders(spark, tmp_path):
+    """A table may be one file or a folder of several; a stream reads all of either once."""
+    from siltstone.plans import registry
+
+    folder, file = f"{tmp_path}/folder", f"{tmp_path}/file"
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/one")
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "one").glob("*.parquet")).rename(f"{file}/documents.parquet")
+    for name in ("stream_exact_dedup", "stream_gate"):
+        query = registry.load()[name]
+        got = [sorted(map(str, query(spark, d).collect())) for d in (folder, file)]
+        assert got[0] and got[0] == got[1]
