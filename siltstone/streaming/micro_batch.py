@@ -35,8 +35,8 @@ def windowed_counts(events: DataFrame, size: str = "1 day", late: str = "1 hour"
     return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-def parquet_stream(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    """The table at ``path``, a file or a folder of files, so many files in a micro-batch."""
+def parquet_stream(spark: SparkSession, path: str, files: int = 32) -> DataFrame:
+    """The table at ``path``, a file or a folder of files, so many files in a micro-batch, which keep as many cores busy."""
     schema = spark.read.parquet(path).schema
     # A plain path has to be a folder; a pattern, here of one character, may also match a file.
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path[:-1]}[{path[-1]}]")

@@ -298,3 +298,13 @@ def test_streams_read_files_and_folders(spark, tmp_path):
         query = registry.load()[name]
         got = [sorted(map(str, query(spark, d).collect())) for d in (folder, file)]
         assert got[0] and got[0] == got[1]
+
+
+def test_streams_take_several_files_at_once(spark, tmp_path):
+    from siltstone.streaming import micro_batch as m
+
+    spark.range(20).repartition(5).write.parquet(f"{tmp_path}/t")
+    sizes = []
+    m.drain(m.parquet_stream(spark, f"{tmp_path}/t"), lambda df, _: sizes.append(df.count()), f"{tmp_path}/c1")
+    m.drain(m.parquet_stream(spark, f"{tmp_path}/t", files=2), lambda df, _: sizes.append(df.count()), f"{tmp_path}/c2")
+    assert len(sizes) == 4 and sizes[0] == sum(sizes[1:]) == 20
