@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 #: Limits that guard against archive bombs.
 MOST_BYTES, MOST_FILES, MOST_RATIO = 100 << 20, 500, 100
@@ -52,9 +53,18 @@ def manifest_partitions(spark: SparkSession, path: str) -> DataFrame:
     return listed.select(F.posexplode("e").alias("place", "e")).select("place", "e.url", F.col("e.meta.record_count").alias("records"), F.col("e.meta.content_length").alias("bytes"))
 
 
+def _elements(spark: SparkSession, path: str, tag: str, schema: StructType) -> DataFrame:
+    """Elements of XML files, one document in each. What follows a second root or a cut would be lost unseen, so it is an error."""
+    raw = "_corrupt_record"
+    rows = spark.read.format("xml").option("rowTag", tag).option("columnNameOfCorruptRecord", raw).schema(StructType([*schema.fields, StructField(raw, StringType())])).load(path)
+    broken = F.col(raw).isNotNull() & F.coalesce(*(F.col(f.name).cast("string") for f in schema.fields)).isNull()
+    error = F.raise_error(F.concat(F.lit("not one XML document: "), F.col("_metadata.file_path"))).cast("boolean")
+    return rows.where(F.when(broken, error).otherwise(True)).select(*schema.names)
+
+
 def wiki_pages(spark: SparkSession, path: str, least: int = 0) -> DataFrame:
     """(id, title, text, timestamp) of articles: no other namespaces, no redirects by element or by text."""
-    pages = spark.read.format("xml").option("rowTag", "page").schema("id long, title string, ns int, redirect struct<_title: string>, revision struct<timestamp: string, text: struct<_VALUE: string>>").load(path)
+    pages = _elements(spark, path, "page", _parse_datatype_string("id long, title string, ns int, redirect struct<_title: string>, revision struct<timestamp: string, text: struct<_VALUE: string>>"))
     text = F.col("revision.text._VALUE")
     kept = pages.where((F.col("ns") == 0) & F.col("redirect").isNull() & (F.coalesce("title", F.lit("")) != "") & (F.length(text) >= max(1, least)))
     return kept.where(~F.lower(F.trim(text)).rlike("^#(redirect|yönlendir)")).select("id", "title", text.alias("text"), F.col("revision.timestamp").alias("timestamp"))
@@ -62,11 +72,9 @@ def wiki_pages(spark: SparkSession, path: str, least: int = 0) -> DataFrame:
 
 def qa_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """``row`` elements of a Q&A dump; attributes become columns."""
-    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
-
     plain = _parse_datatype_string(schema)
     attributes = StructType([StructField(f"_{f.name}", f.dataType) for f in plain.fields])
-    rows = spark.read.format("xml").option("rowTag", "row").schema(attributes).load(path)
+    rows = _elements(spark, path, "row", attributes)
     return rows.select(*(F.col(f"_{f.name}").alias(f.name) for f in plain.fields))
 
 

@@ -308,3 +308,27 @@ def test_streams_take_several_files_at_once(spark, tmp_path):
     m.drain(m.parquet_stream(spark, f"{tmp_path}/t"), lambda df, _: sizes.append(df.count()), f"{tmp_path}/c1")
     m.drain(m.parquet_stream(spark, f"{tmp_path}/t", files=2), lambda df, _: sizes.append(df.count()), f"{tmp_path}/c2")
     assert len(sizes) == 4 and sizes[0] == sum(sizes[1:]) == 20
+
+
+def test_dumps_of_many_documents(spark, tmp_path):
+    """More elements than one dump holds, in one partition, and none."""
+    from siltstone.plans import registry
+
+    ids = spark.range(2500).selectExpr("id AS doc_id", "'x' AS text")
+    ids.coalesce(1).write.parquet(f"{tmp_path}/many/documents.parquet")
+    ids.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    for name, want in (("s2_s3_wiki_pages", 1250), ("s4_qa_rows", 2500)):
+        query = registry.load()[name]
+        rows = query(spark, f"{tmp_path}/many").collect()
+        assert len(rows) == len(set(rows)) == want
+        assert query(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_a_second_root_is_no_silent_end(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "two.xml").write_text('<posts><row Id="1" /></posts>\n<posts><row Id="2" /></posts>\n')
+    with pytest.raises(Exception, match="not one XML document"):
+        readers.qa_rows(spark, str(tmp_path), "Id long").collect()
+    (tmp_path / "two.xml").write_text('<posts><row Id="1" Body="a > b" /><row /></posts>')
+    assert sorted(map(tuple, readers.qa_rows(spark, str(tmp_path), "Id long, Body string").collect()), key=str) == [(1, "a > b"), (None, None)]
