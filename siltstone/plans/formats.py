@@ -19,10 +19,10 @@ def _folder(spark, name: str) -> str:
 
 
 def _dumps(elements, root: str, path: str) -> None:
-    """XML dumps of a thousand elements each, under one root."""
+    """XML dumps of a thousand elements each, under one root; each is a file, as a document has one root."""
     body = F.array_join(F.collect_list("value"), "\n  ")
     dumps = elements.groupBy(F.floor(F.col("doc_id") / 1000).alias("dump")).agg(F.concat(F.lit(f"<{root}>\n  "), body, F.lit(f"\n</{root}>")).alias("value"))
-    dumps.select("value").write.text(path)
+    dumps.select("dump", "value").write.partitionBy("dump").text(path)
 
 
 @query("SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment FROM customer")
