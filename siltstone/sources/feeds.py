@@ -155,12 +155,12 @@ def catalogue_books(_: str, content: bytes) -> Iterator[tuple]:
 # --- harvests with tokens --------------------------------------------------------------------------------------------
 
 
-def oai_page(content: bytes) -> tuple[list[str], str | None]:
-    """Records (as JSON: id, datestamp, deleted and lists of Dublin Core fields) and the next token; an error page raises."""
+def oai_page(content: bytes) -> tuple[list[str | None], str | None]:
+    """Records (as JSON: id, datestamp and lists of Dublin Core fields; null for a deleted one) and the next token; an error page raises."""
     root = ET.fromstring(content)
     if (error := next((e for e in root.iter() if _tag(e) == "error"), None)) is not None:
         raise LookupError(error.get("code", ""))
-    rows = []
+    rows: list[str | None] = []
     for record in (e for e in root.iter() if _tag(e) == "record"):
         head = next(e for e in record if _tag(e) == "header")
         fields: dict[str, list[str]] = {}
@@ -168,8 +168,8 @@ def oai_page(content: bytes) -> tuple[list[str], str | None]:
             if e.tag.startswith("{http://purl.org/dc/elements/1.1/}") and (e.text or "").strip():
                 fields.setdefault(_tag(e), []).append(e.text.strip())
         t = _texts(head)
-        if head.get("status") != "deleted":
-            rows.append(json.dumps({"id": t.get("identifier", ""), "datestamp": t.get("datestamp", ""), "dc": fields}, ensure_ascii=False))
+        deleted = head.get("status") == "deleted"
+        rows.append(None if deleted else json.dumps({"id": t.get("identifier", ""), "datestamp": t.get("datestamp", ""), "dc": fields}, ensure_ascii=False))
     token = next((e.text for e in root.iter() if _tag(e) == "resumptionToken"), None)
     return rows, (token or "").strip() or None
 
@@ -183,9 +183,10 @@ def json_page(content: bytes, items: tuple[str, ...] = ("results", "data", "item
     return [json.dumps(x, ensure_ascii=False) for x in rows], token
 
 
-def chained(fetch: Callable[[str | None], bytes], parse: Callable[[bytes], tuple[list[str], str | None]], most: int | None = None, restarts: int = 1) -> Iterator[tuple[str, str]]:
+def chained(fetch: Callable[[str | None], bytes], parse: Callable[[bytes], tuple[list[str | None], str | None]], most: int | None = None, restarts: int = 1) -> Iterator[tuple[str, str]]:
     """(token, item) page after page, until there is no next token, a page is empty, or ``most`` items were given.
 
+    Null items stand for what is not given, such as deleted records; a page of these alone is not empty.
     A token that the service rejects starts the harvest anew from the root, so often as allowed; what was given is not given again.
     """
     token, given, seen = None, 0, set()
@@ -198,7 +199,7 @@ def chained(fetch: Callable[[str | None], bytes], parse: Callable[[bytes], tuple
             token, restarts = None, restarts - 1
             continue
         for row in rows:
-            if row in seen:
+            if row is None or row in seen:
                 continue
             seen.add(row)
             yield token or "", row

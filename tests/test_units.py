@@ -186,6 +186,20 @@ def test_harvest_restarts_once():
     assert [x for _, x in chained(lambda t: t, parse)] == ["a", "b", "x", "c"] and [x for _, x in chained(lambda t: t, parse, most=1)] == ["a"]
 
 
+def test_harvest_passes_over_pages_of_deleted_records():
+    from siltstone.sources.feeds import chained, oai_page
+
+    record = '<record><header%s><identifier>%s</identifier></header></record>'
+    gone = ' status="deleted"'
+    pages = {None: (["", ""], "t1"), "t1": ([gone, gone], "t2"), "t2": ([gone, ""], None)}
+
+    def fetch(token):
+        kinds, after = pages[token]
+        return ("<OAI-PMH>" + "".join(record % (k, f"{token}{n}") for n, k in enumerate(kinds)) + f"<resumptionToken>{after or ''}</resumptionToken></OAI-PMH>").encode()
+
+    assert [json.loads(x)["id"] for _, x in chained(fetch, oai_page)] == ["None0", "None1", "t21"]
+
+
 def test_cron_fields():
     assert web._cron_values("*/15", 0, 59) == [0, 15, 30, 45] and web._cron_values("1-5,9", 0, 59) == [1, 2, 3, 4, 5, 9]
     assert web._cron_values("10-20/5", 0, 59) == [10, 15, 20] and web._cron_values("x,*/0,70", 0, 59) == [] and web._cron_values("50/4", 0, 59) == [50, 54, 58]
