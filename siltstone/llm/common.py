@@ -23,6 +23,8 @@ CHUNK_BYTES = 4 << 20
 
 #: Rows of an Arrow batch, at most, on its way to Python: texts may be long, and a batch is held whole on both sides.
 BATCH_ROWS = 1000
+#: Rows of the batches that Python joins from smaller ones, at most.
+JOINED_ROWS = 8000
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -144,6 +146,21 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: in
         yield batch.slice(at)
 
 
+def joined_batches(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES, rows: int = JOINED_ROWS) -> Iterator[pa.RecordBatch]:
+    """Join small Arrow batches to ones of about ``limit`` bytes of text and ``rows`` rows, for work that has a price for each call."""
+    held: list[pa.RecordBatch] = []
+    size = n = 0
+    for batch in batches:
+        more = pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0
+        if held and (size + more > limit or n + batch.num_rows > rows):
+            yield pa.concat_batches(held)
+            held, size, n = [], 0, 0
+        held.append(batch)
+        size, n = size + more, n + batch.num_rows
+    if held:
+        yield pa.concat_batches(held)
+
+
 def free_memory() -> None:
     """Give memory that a Python worker no longer uses back to the machine, as the worker lives on for other tasks."""
     pa.default_memory_pool().release_unused()

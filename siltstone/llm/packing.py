@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import free_memory, staged, text_chunks
+from siltstone.llm.common import BATCH_ROWS, free_memory, joined_batches, staged, text_chunks
 from siltstone.llm.tokenizing import encoder as encoder_of
 from siltstone.llm.tokenizing import id_type
 
@@ -38,8 +38,8 @@ WINDOW = 4096
 #: Ids in a shard, about: what is indexed and packed at once.
 SHARD_IDS = 750_000
 K1, B = 1.2, 0.75
-#: Pieces of text whose ids a worker remembers; fewer than elsewhere, as the same workers index and pack.
-MEMO_PIECES = 150_000
+#: Pieces of text whose ids a worker remembers; more than elsewhere, as more text is encoded in a call.
+MEMO_PIECES = 250_000
 #: Documents that the router is fitted on, about; the terms that it looks at; how often it splits.
 SAMPLE, FEATURES, SPLITS = 1024, 1024, 6
 
@@ -75,7 +75,8 @@ class Router(NamedTuple):
     def places(self, flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
         """Leaf and MinHash values of each document."""
         stops = np.cumsum(sizes)
-        out = [self.leaves(self.vectors(flat, sizes))]
+        some = [slice(i, i + BATCH_ROWS) for i in range(0, len(sizes), BATCH_ROWS)]
+        out = [np.concatenate([self.leaves(self.vectors(flat[(stops - sizes)[s][0] : stops[s][-1]], sizes[s])) for s in some])]
         for order in self.orders:
             h = order[flat]
             h[stops - 1] = len(order)
@@ -136,7 +137,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, kind: st
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer_path, MEMO_PIECES)
-        for batch in text_chunks(batches, limit=1 << 20):
+        for batch in text_chunks(joined_batches(batches)):
             flat, sizes = encoder.encode(batch.column("text"))
             out = np.empty(len(flat) + len(sizes), kind)
             stops = np.cumsum(sizes + 1)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import free_memory, fresh_path, read_blob, spread, staged, text_chunks, with_prefix_sums, write_blob
+from siltstone.llm.common import free_memory, fresh_path, joined_batches, read_blob, spread, staged, text_chunks, with_prefix_sums, write_blob
 from siltstone.llm.tokenizing import encoder as encoder_of
 
 MAGIC = b"RPG1"
@@ -216,7 +216,7 @@ def write_grammar_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_
             ids, held, counts, n, shard = [], [], [], 0, shard + 1
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, [pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 4])], ["part", "shard", "path", "documents", "tokens", "symbols", "rules"])
 
-        for batch in text_chunks(batches, limit=1 << 20):
+        for batch in text_chunks(joined_batches(batches, limit=1 << 20), limit=1 << 20):
             part = batch.column("part")[0].as_py()
             flat, sizes = encoder.encode(batch.column("text"))
             out = np.empty(len(flat) + len(sizes), np.uint32)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import free_memory, fresh_path, read_range, spread, staged, text_chunks, write_blob
+from siltstone.llm.common import free_memory, fresh_path, joined_batches, read_range, spread, staged, text_chunks, write_blob
 from siltstone.llm.tokenizing import encoder as encoder_of
 from siltstone.llm.tokenizing import id_type
 
@@ -55,7 +55,7 @@ def write_flat_tokens(docs: DataFrame, folder: str, tokenizer_path: str, separat
             held, ids, n = [], [], 0
             return out
 
-        for batch in text_chunks(batches, limit=1 << 20):
+        for batch in text_chunks(joined_batches(batches, limit=1 << 20), limit=1 << 20):
             flat, sizes = encoder.encode(batch.column("text"))
             out = np.empty(len(flat) + len(sizes), kind)
             stops = np.cumsum(sizes + 1) - 1

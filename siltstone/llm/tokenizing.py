@@ -9,14 +9,14 @@ from __future__ import annotations
 import json
 import os
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces that a worker remembers; beyond it those that few calls used are forgotten. Bounds memory, never results.
-MEMO_PIECES = 350_000
+#: Arrow indexes them anew for each call, so more of them cost time as well.
+MEMO_PIECES = 150_000
 
 #: A text with other characters than Latin-1 keeps its case here: only the vocabulary's own normaliser treats it.
 _WIDE = r"[^\x{00}-\x{ff}]"
@@ -66,67 +66,58 @@ class PieceEncoder:
         special = {t["content"]: t["id"] for t in spec.get("added_tokens") or [] if t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])}
         self.mark = next(iter(special.items()), None) if not any(t.get("normalized") for t in spec.get("added_tokens") or []) else None
         self.memo_pieces = memo_pieces
-        self._reset()
-
-    def _reset(self) -> None:
-        self.memo: dict[str, int] = {}
-        self.n = self.used = 0
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 12, np.int64)
-        self.length = np.zeros(1 << 12, np.int64)
-        self.uses = np.zeros(1 << 12, np.int32)
+        # The memo: pieces, their ids as bytes, and in how many calls each was used.
+        self.keys, self.ids, self.uses = pa.array([], pa.large_string()), pa.array([], pa.large_binary()), np.zeros(0, np.int32)
 
     def _forget(self) -> None:
-        """Keep the half of the memo that most calls have used."""
-        keep = np.argsort(-self.uses[: self.n], kind="stable")[: self.memo_pieces // 2]
-        own, flat, start, length = list(self.memo), self.flat, self.start[keep], self.length[keep]
-        self._reset()
-        stops = np.cumsum(length)
-        self._add_all([own[i] for i in keep.tolist()], flat[np.repeat(start - (stops - length), length) + np.arange(stops[-1])], stops)
-
-    def _add_all(self, pieces: list[str], flat: np.ndarray, stops: np.ndarray) -> None:
-        k, total = len(pieces), len(flat)
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while self.n + k > len(self.start):
-            self.start, self.length, self.uses = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.uses))
-        self.flat[self.used : self.used + total] = flat
-        starts = np.concatenate([[0], stops[:-1]])
-        self.start[self.n : self.n + k] = self.used + starts
-        self.length[self.n : self.n + k] = stops - starts
-        self.memo.update(zip(pieces, range(self.n, self.n + k)))
-        self.n, self.used = self.n + k, self.used + total
-
-    def _learn(self, pieces: np.ndarray, plain: np.ndarray) -> None:
-        """Encode and remember ``pieces``; ``plain`` marks those of lower-case Latin-1 letters alone."""
-        rest = pieces.tolist()
-        if self.letters is not None and plain.any():
-            words = pieces[plain].tolist()
-            joined = [" ".join(words[i : i + 512]).encode().decode("latin-1") for i in range(0, len(words), 512)]
-            for byte, spelt in _SPELT:
-                joined = [x.replace(byte, spelt) for x in joined]
-            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)])
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(words) and stops[-1] == len(ids):
-                self._add_all(words, ids, stops)
-                rest = pieces[~plain].tolist()
+        """Keep the half of the memo that most calls have used; earlier calls count half."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: self.memo_pieces // 2])
+        self.keys, self.ids, self.uses = self.keys.take(pa.array(keep)), self.ids.take(pa.array(keep)), self.uses[keep] // 2
+
+    def _learn(self, pieces: pa.Array) -> None:
+        """Encode and remember ``pieces``, each of them new."""
+        found: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []  # pieces, their ids, and where each one's stop
+        left = pieces
+        if self.letters is not None:
+            plain = pc.match_substring_regex(pieces, _LETTERS)
+            words = pieces.filter(plain)
+            if len(words):
+                cuts = np.append(np.arange(0, len(words), 512), len(words)).astype(np.int32)
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), words.cast(pa.string())), " ").to_pylist()
+                joined = [x.encode().decode("latin-1") for x in joined]
+                for byte, spelt in _SPELT:
+                    joined = [x.replace(byte, spelt) for x in joined]
+                ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.letters.encode_batch_fast(joined, add_special_tokens=False)])
+                stops = np.flatnonzero(self.ends[ids]) + 1
+                if len(stops) == len(words) and stops[-1] == len(ids):
+                    found.append((words, ids, stops))
+                    left = pieces.filter(pc.invert(plain))
+        rest = left.to_pylist()
         if self.mark is not None:
             # A special token between pieces parts them before anything else looks at the text.
             name, number = self.mark
-            free = [p for p in rest if name not in p]
+            free, rest = [p for p in rest if name not in p], [p for p in rest if name in p]
             for i in range(0, len(free), 512):
                 some = free[i : i + 512]
                 ids = np.array(self.whole.encode(name.join(["", *some, ""]), add_special_tokens=False).ids, np.uint32)
                 marks = np.flatnonzero(ids == number)
                 if len(marks) == len(some) + 1:
-                    self._add_all(some, ids[ids != number], marks[1:] - np.arange(1, len(marks)))
-            rest = [p for p in rest if p not in self.memo]
-        for p, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self._add_all([p], np.array(e.ids, np.uint32), np.array([len(e.ids)]))
+                    found.append((pa.array(some, pa.large_string()), ids[ids != number], marks[1:] - np.arange(1, len(marks))))
+                else:
+                    rest += some
+        if rest:
+            each = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(rest, add_special_tokens=False)]
+            found.append((pa.array(rest, pa.large_string()), np.concatenate(each), np.cumsum([len(x) for x in each])))
+        blobs = []
+        for some, ids, stops in found:
+            offsets = np.concatenate([[0], stops]).astype(np.int64) * ids.itemsize
+            blobs.append(pa.Array.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]))
+        self.keys, self.ids = pa.concat_arrays([self.keys, *(some for some, _, _ in found)]), pa.concat_arrays([self.ids, *blobs])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int32)])
 
     def encode(self, texts: pa.Array | pa.ChunkedArray | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has. A null or empty text has none."""
-        if self.n > self.memo_pieces:
+        if len(self.keys) > self.memo_pieces:
             self._forget()
         column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else pc.cast(texts, pa.large_string())
         if isinstance(column, pa.ChunkedArray):
@@ -139,21 +130,21 @@ class PieceEncoder:
             column = pc.replace_substring(column, blank, " ")
         column = pc.replace_substring_regex(column, _MARK, r"\1 \2\3")
         lists = pc.split_pattern(column, " ")
-        pieces = lists.flatten().dictionary_encode()
-        own = pieces.dictionary.to_numpy(zero_copy_only=False)
-        at = np.fromiter(map(self.memo.get, own, repeat(-1)), np.int64, len(own))
-        if len(gaps := np.flatnonzero(at < 0)):
-            plain = pc.match_substring_regex(pieces.dictionary.take(pa.array(gaps)), _LETTERS)
-            self._learn(own[gaps], plain.to_numpy(zero_copy_only=False))
-            at[gaps] = np.fromiter(map(self.memo.__getitem__, own[gaps]), np.int64, len(gaps))
-        self.uses[at] += 1
-        at = at[pieces.indices.to_numpy()]
-        lengths = self.length[at]
-        stops = np.cumsum(lengths)
-        total = int(stops[-1]) if len(stops) else 0
-        # A chunk's ids and the memo's are far fewer than 2**31.
-        place = np.repeat((self.start[at] - (stops - lengths)).astype(np.int32), lengths)
-        place += np.arange(total, dtype=np.int32)
-        flat = self.flat[place]
-        text_stops = np.concatenate([[0], stops])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        pieces, known = lists.flatten(), len(self.keys)
+        found = pc.index_in(pieces, self.keys)
+        at = np.array(pc.fill_null(found, 0))
+        if found.null_count:
+            gaps = found.is_null()
+            new = pieces.filter(gaps).dictionary_encode()
+            self._learn(new.dictionary)
+            places = known + pc.index_in(new.dictionary, self.keys.slice(known)).to_numpy()
+            at[gaps.to_numpy(zero_copy_only=False)] = places[new.indices.to_numpy()]
+        used = np.zeros(len(self.keys), bool)
+        used[at] = True
+        self.uses += used
+        taken = self.ids.take(pa.array(at))
+        _, offsets, data = taken.buffers()
+        stops = np.frombuffer(offsets, np.int64, len(at) + 1) // 4
+        flat = np.frombuffer(data, np.uint32, int(stops[-1])) if stops[-1] else np.empty(0, np.uint32)
+        text_stops = stops[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return flat, np.diff(text_stops)

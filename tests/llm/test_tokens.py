@@ -5,8 +5,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from siltstone.llm.common import joined_batches
 from siltstone.llm.packing import ShardIndex, corpus_statistics, encode_documents, fill_windows, fit_router, pack_documents
 from siltstone.llm.queries import word_bpe
 from siltstone.llm.repair_store import ShardFile, encode_shard, expand, grammar_round_trip, pairs_to_rules
@@ -34,6 +36,39 @@ def test_pieces_give_the_ids_of_whole_texts(whole, rows):
         assert [p.tolist() for p in parts] == [ids_of(whole, t) for t in texts]
 
 
+def test_memo_keeps_what_earlier_calls_used(whole):
+    encoder, learned = PieceEncoder(word_bpe(), memo_pieces=60), Counter()
+    learn = encoder._learn
+
+    def counted(pieces, *more):
+        learned.update(pieces.tolist())
+        return learn(pieces, *more)
+
+    encoder._learn = counted
+    often = [f"{a}{b}often" for a in "abcde" for b in "fgh"]
+    for k in range(10):
+        # Often used words in every third call, between them always new ones that overflow the memo.
+        text = " ".join(often if k < 4 or k % 3 == 0 else [f"w{k}x{j}" for j in range(70)])
+        assert encoder.encode([text])[0].tolist() == ids_of(whole, text)
+    assert {learned[w] for w in often} == {1}
+
+
+def test_short_texts_are_encoded_together():
+    batches = [pa.record_batch({"doc_id": [k, None], "text": ["ab", None]}) for k in range(50)]
+    got = list(joined_batches(iter(batches), limit=20))
+    assert [b.num_rows for b in got] == [20] * 5 and pa.Table.from_batches(got) == pa.Table.from_batches(batches).combine_chunks()
+    assert [b.num_rows for b in joined_batches(iter(batches), rows=30)] == [30, 30, 30, 10]
+    assert [b.num_rows for b in joined_batches(iter(batches), limit=1)] == [2] * 50 and not list(joined_batches(iter([])))
+
+
+def test_routing_of_a_large_batch_is_that_of_its_parts(spark):
+    every = [np.append(np.random.default_rng(k).integers(3, 90, k % 40), 2).astype("<u2") for k in range(2100)]
+    sample = spark.createDataFrame([(d.tobytes(),) for d in every[:300]], "ids binary")
+    router, sizes = fit_router(sample, "<u2", 100, 50), np.array([len(d) for d in every])
+    whole, single = router.places(np.concatenate(every), sizes), [router.places(d, np.array([len(d)])) for d in every]
+    assert all(w.tolist() == [s[i][0] for s in single] for i, w in enumerate(whole))
+
+
 def test_grammar_round_trip(spark, docs, empty, rows, whole):
     got = [tuple(r) for r in grammar_round_trip(docs, word_bpe()).collect()]
     want, at = [], 0
