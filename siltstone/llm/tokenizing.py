@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces that a worker remembers; beyond it those that few calls used are forgotten. Bounds memory, never results.
-#: Arrow indexes them anew for each call, so more of them cost time as well.
-MEMO_PIECES = 150_000
+#: Arrow indexes them anew for each call, so more of them cost time as well, and calls should have some MB of text.
+MEMO_PIECES = 250_000
 
 #: A text with other characters than Latin-1 keeps its case here: only the vocabulary's own normaliser treats it.
 _WIDE = r"[^\x{00}-\x{ff}]"
